@@ -5,8 +5,16 @@ from __future__ import annotations
 from pyspark.sql import types as T
 
 
+_TYPES = {
+    "string": T.StringType(), "bigint": T.LongType(), "int": T.IntegerType(),
+    "double": T.DoubleType(), "boolean": T.BooleanType(), "timestamp": T.TimestampType(),
+}
+
+
 def _struct(spec: str) -> T.StructType:
-    return T.StructType.fromDDL(spec)
+    """Schema from ``name type, …``; needs no running session."""
+    pairs = (column.split() for column in spec.split(","))
+    return T.StructType([T.StructField(name, _TYPES[kind]) for name, kind in pairs])
 
 
 LANDING_METADATA = _struct(
@@ -37,6 +45,11 @@ QUALITY_LOG = _struct(
     "line_number int, severity string"
 )
 
+GROUP_OUTCOME = _struct(
+    "read_path string, ok boolean, group_start timestamp, group_end timestamp, "
+    "retries int, group_error string"
+)
+
 NACT_CONTRACTS = _struct(
     "nact_internal_id string, contract_number_raw string, contract_number string, "
     "supplier_cnpj string, supplier_name string, operation_location string, "

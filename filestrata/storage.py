@@ -33,12 +33,16 @@ def scratch_dir(spark: SparkSession, label: str) -> str:
     return f"{base.rstrip('/')}/{label}-{uuid.uuid4().hex}"
 
 
-def materialize(df: DataFrame, label: str, partition_by: Sequence[str] = ()) -> DataFrame:
-    """Write a frame to the scratch folder and read it back: lineage ends here."""
-    spark = df.sparkSession
-    path = scratch_dir(spark, label)
+def stage(df: DataFrame, label: str, partition_by: Sequence[str] = ()) -> str:
+    """Write a frame to the scratch folder; returns where."""
+    path = scratch_dir(df.sparkSession, label)
     df.write.partitionBy(*partition_by).parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    return path
+
+
+def materialize(df: DataFrame, label: str) -> DataFrame:
+    """Write a frame to the scratch folder and read it back: lineage ends here."""
+    return df.sparkSession.read.schema(df.schema).parquet(stage(df, label))
 
 
 def spread_files(files: DataFrame, tasks: int | None = None) -> DataFrame:
