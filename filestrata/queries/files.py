@@ -88,7 +88,7 @@ def _ragged_scan(spark, sf):
 
 def csv_bad_lines(spark, sf):
     tables = [group.table() for group in _ragged_scan(spark, sf)]
-    return reduce(DataFrame.unionByName, tables).drop("_source_path")
+    return reduce(DataFrame.unionByName, tables).drop("_file_uri")
 
 
 QUERIES["csv_bad_lines"] = csv_bad_lines
@@ -247,7 +247,7 @@ def workbook_scan(spark, sf):
     write_workbooks(customers, f"{root}/a", "xlsx")
     write_workbooks(suppliers, f"{root}/b", "xlsb")
     _, groups = workbook.header_groups(spark, written_files(spark, root))
-    return reduce(DataFrame.unionByName, [g.table() for g in groups]).drop("_source_path")
+    return reduce(DataFrame.unionByName, [g.table() for g in groups]).drop("_file_uri")
 
 
 QUERIES["workbook_scan"] = workbook_scan
