@@ -24,10 +24,19 @@ def contract_number(value: Column) -> Column:
     return F.nullif(digits, F.lit(""))
 
 
-def null_tokens(value: Column, tokens: Iterable[str] = NULL_TOKENS) -> Column:
-    """Null out the missing-value texts; the text is compared untrimmed."""
-    tokens = list(tokens)
-    return F.when(~value.isin(tokens), value) if tokens else value
+def null_tokens_sql(value: str, tokens: Iterable[str] = NULL_TOKENS) -> str:
+    """SQL that nulls out the missing-value texts; they are compared untrimmed.
+
+    One parsed expression: a list of literal columns for each of many table
+    columns would make planning slow.
+    """
+    listed = ", ".join("'" + t.replace("\\", "\\\\").replace("'", "\\'") + "'" for t in tokens)
+    return f"if({value} IN ({listed}), NULL, {value})" if listed else value
+
+
+def null_tokens(value: str, tokens: Iterable[str] = NULL_TOKENS) -> Column:
+    """``null_tokens_sql`` as a column."""
+    return F.expr(null_tokens_sql(value, tokens))
 
 
 def stringify(df: DataFrame) -> DataFrame:

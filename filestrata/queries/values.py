@@ -66,10 +66,11 @@ def na_tokens(spark, sf):
     texts = F.array(*[F.lit(t) for t in (*T.NULL_TOKENS, " NA", "Na", "x")])
     token = F.get(texts, (F.col("p_partkey") % 22).cast("int"))
     return table(spark, sf, "part").select(
+        "p_partkey", "p_name", token.alias("token")).select(
         "p_partkey",
-        T.null_tokens(token).alias("value"),
-        T.null_tokens(F.col("p_name")).alias("p_name"),
-        T.null_tokens(token, ()).alias("kept"))
+        T.null_tokens("token").alias("value"),
+        T.null_tokens("p_name").alias("p_name"),
+        T.null_tokens("token", ()).alias("kept"))
 
 
 QUERIES["na_tokens"] = na_tokens

@@ -19,6 +19,9 @@ from pyspark.sql import DataFrame, SparkSession
 
 Result = TypeVar("Result")
 
+# Folders handed out in this driver, for ``clear_scratch``.
+_scratch_folders: list[str] = []
+
 
 def scratch_dir(spark: SparkSession, label: str) -> str:
     """A new folder name under the shared checkpoint folder."""
@@ -28,9 +31,20 @@ def scratch_dir(spark: SparkSession, label: str) -> str:
             raise ValueError("Set spark.checkpoint.dir to a folder all executors share.")
         base = tempfile.mkdtemp(prefix="filestrata-")
         spark.conf.set("spark.checkpoint.dir", base)
-    if spark.sparkContext.getCheckpointDir() is None:
-        spark.sparkContext.setCheckpointDir(base)
-    return f"{base.rstrip('/')}/{label}-{uuid.uuid4().hex}"
+    folder = f"{base.rstrip('/')}/{label}-{uuid.uuid4().hex}"
+    _scratch_folders.append(folder)
+    return folder
+
+
+def clear_scratch(spark: SparkSession) -> None:
+    """Delete the folders this driver staged tables in.
+
+    For the end of an application, or between batches whose frames have been
+    written: lazily read frames need their staged tables.
+    """
+    while _scratch_folders:
+        filesystem, target = _hadoop(spark, _scratch_folders.pop())
+        filesystem.delete(target, True)
 
 
 def stage(df: DataFrame, label: str, partition_by: Sequence[str] = ()) -> str:

@@ -21,9 +21,9 @@ def test_contract_number(spark):
 
 
 def test_null_tokens(spark):
-    assert values(spark, T.null_tokens, *T.NULL_TOKENS) == [None] * len(T.NULL_TOKENS)
-    assert values(spark, T.null_tokens, " NA", "Na", "x", None) == [" NA", "Na", "x", None]
-    assert values(spark, lambda c: T.null_tokens(c, ()), "NA", "") == ["NA", ""]
+    assert values(spark, lambda c: T.null_tokens("v"), *T.NULL_TOKENS) == [None] * len(T.NULL_TOKENS)
+    assert values(spark, lambda c: T.null_tokens("v"), " NA", "Na", "x", None) == [" NA", "Na", "x", None]
+    assert values(spark, lambda c: T.null_tokens("v", ()), "NA", "") == ["NA", ""]
 
 
 def test_stringify_keeps_nulls(spark):
