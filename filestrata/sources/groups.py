@@ -8,7 +8,7 @@ from concurrent.futures import Future, ThreadPoolExecutor
 from dataclasses import dataclass
 from typing import TypeVar
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 
 from ..functions.headers import technical_names
@@ -29,7 +29,8 @@ class HeaderGroup:
     ``rows`` has ``file_uri`` and the text columns ``c0`` … ``c<n-1>``, named in
     ``names``. ``uris`` are the ``paths`` as the scan spells them. ``bad_rows`` holds
     skipped over-long rows and ``failed`` files that turned out unreadable, both
-    by ``source_path``; they are ``None`` when there can be none.
+    by ``source_path``; they are ``None`` when there can be none. Reading ``rows``
+    counts the skipped rows on the way, see ``has_bad_rows``.
     """
 
     names: list[str]
@@ -38,6 +39,11 @@ class HeaderGroup:
     rows: DataFrame
     bad_rows: DataFrame | None = None
     failed: DataFrame | None = None
+    skipped: Observation | None = None
+
+    def has_bad_rows(self) -> bool:
+        """Whether rows were skipped; known once ``rows`` has been read."""
+        return self.skipped is not None and self.skipped.get["n"] > 0
 
     def table(self, names: Sequence[str] | None = None) -> DataFrame:
         """Data under technical names (or the given ones) plus ``_file_uri``;

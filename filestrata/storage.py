@@ -11,6 +11,7 @@ import tempfile
 import time
 import uuid
 from collections.abc import Callable, Sequence
+from functools import lru_cache
 from typing import TypeVar
 from urllib.parse import quote
 
@@ -23,14 +24,22 @@ Result = TypeVar("Result")
 _scratch_folders: list[str] = []
 
 
+@lru_cache
+def _local_base(application: str) -> str:
+    return tempfile.mkdtemp(prefix="filestrata-")
+
+
 def scratch_dir(spark: SparkSession, label: str) -> str:
-    """A new folder name under the shared checkpoint folder."""
-    base = spark.conf.get("spark.checkpoint.dir", None)
+    """A new folder name under the shared checkpoint folder.
+
+    Only a local session without that setting gets a folder of its own.
+    """
+    context = spark.sparkContext
+    base = spark.conf.get("spark.checkpoint.dir", None) or context.getCheckpointDir()
     if not base:
-        if not spark.sparkContext.master.startswith("local"):
+        if not context.master.startswith("local"):
             raise ValueError("Set spark.checkpoint.dir to a folder all executors share.")
-        base = tempfile.mkdtemp(prefix="filestrata-")
-        spark.conf.set("spark.checkpoint.dir", base)
+        base = _local_base(context.applicationId)
     folder = f"{base.rstrip('/')}/{label}-{uuid.uuid4().hex}"
     _scratch_folders.append(folder)
     return folder
