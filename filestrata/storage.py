@@ -11,7 +11,6 @@ import tempfile
 import time
 import uuid
 from collections.abc import Callable, Sequence
-from functools import lru_cache
 from typing import TypeVar
 from urllib.parse import quote
 
@@ -24,22 +23,21 @@ Result = TypeVar("Result")
 _scratch_folders: list[str] = []
 
 
-@lru_cache
-def _local_base(application: str) -> str:
-    return tempfile.mkdtemp(prefix="filestrata-")
+def use_local_checkpoint_dir(spark: SparkSession) -> None:
+    """For entry points, bench and tests: give a session on one machine that names
+    no folder for staged tables one of its own. A cluster must name a shared one.
+    """
+    named = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
+    if not named and re.match(r"local(\[|$)", spark.sparkContext.master):
+        spark.conf.set("spark.checkpoint.dir", tempfile.mkdtemp(prefix="filestrata-"))
 
 
 def scratch_dir(spark: SparkSession, label: str) -> str:
-    """A new folder name under the shared checkpoint folder.
-
-    Only a local session without that setting gets a folder of its own.
-    """
-    context = spark.sparkContext
-    base = spark.conf.get("spark.checkpoint.dir", None) or context.getCheckpointDir()
+    """A new folder name under the shared checkpoint folder."""
+    base = (spark.conf.get("spark.checkpoint.dir", None)
+            or spark.sparkContext.getCheckpointDir())
     if not base:
-        if not context.master.startswith("local"):
-            raise ValueError("Set spark.checkpoint.dir to a folder all executors share.")
-        base = _local_base(context.applicationId)
+        raise ValueError("Set spark.checkpoint.dir to a folder all executors share.")
     folder = f"{base.rstrip('/')}/{label}-{uuid.uuid4().hex}"
     _scratch_folders.append(folder)
     return folder

@@ -53,7 +53,7 @@ if __name__ == "__main__":
                .config("spark.driver.memory", "8g").getOrCreate())
     session.sparkContext.setLogLevel("ERROR")
     failed = []
-    for query in sys.argv[2:] or entry.queries():
+    for query in sys.argv[2:] or entry.oracle_sql():
         start = time.time()
         try:
             issues = compare(session, connect(sf_dir), query, sf_dir)
