@@ -11,7 +11,6 @@ from __future__ import annotations
 import json
 import unicodedata
 from collections.abc import Iterable, Iterator
-from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -31,8 +30,7 @@ ENDINGS = ("s", "t", "re", "ve", "m", "ll", "d")
 SPACE, LETTER, NUMBER, OTHER = 0, 1, 2, 3
 
 
-@lru_cache(1)
-def _classes() -> np.ndarray:
+def character_classes() -> np.ndarray:
     """The class of every code point."""
     table = np.full(0x110000, OTHER, np.uint8)
     for code in range(0x110000):
@@ -70,9 +68,11 @@ def _segments(texts: list[str], special: list[str]) -> tuple[list[str], list[int
     return pieces, owners, marks
 
 
-def split_words(texts: list[str], special: list[str]) -> tuple[pa.Array, np.ndarray]:
+def split_words(texts: list[str], special: list[str],
+                classes: np.ndarray) -> tuple[pa.Array, np.ndarray]:
     """All words of the texts in order, and for each text the index of its first
     word (with the total at the end). Joined, a text's words give the text.
+    ``classes`` is ``character_classes()``, built once on the driver.
 
     The rule is the public split pattern of byte-level BPE: runs of letters,
     numbers or other signs, each with one leading space; English endings; white
@@ -83,7 +83,7 @@ def split_words(texts: list[str], special: list[str]) -> tuple[pa.Array, np.ndar
     n = len(code)
     ends = np.cumsum([len(p) for p in pieces], dtype=np.int64)
     begins = np.concatenate([[0], ends])[:-1].astype(np.int64)
-    kind = _classes()[code]
+    kind = classes[code]
     start = np.empty(n + 1, bool)
     start[n] = True
     if n:
@@ -124,20 +124,9 @@ def split_words(texts: list[str], special: list[str]) -> tuple[pa.Array, np.ndar
     return words, np.searchsorted(where, np.cumsum(per_text))
 
 
-@lru_cache(2)
-def _tokenizer(path: str):
-    import os
-
-    os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
-    from tokenizers import Tokenizer
-
-    return Tokenizer.from_file(path)
-
-
-@lru_cache(2)
-def special_tokens(path: str) -> tuple[str, ...]:
+def special_tokens(path: str) -> list[str]:
     with open(path, encoding="utf-8") as file:
-        return tuple(t["content"] for t in json.load(file)["added_tokens"])
+        return [t["content"] for t in json.load(file)["added_tokens"]]
 
 
 def _gather(offsets: np.ndarray, chosen: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -182,14 +171,15 @@ def encode_and_decode(docs: DataFrame, tokenizer_path: str, **block_options) ->
     spark = docs.sparkSession
     blocks = text_blocks(docs, **block_options)
     buckets = partitions(spark)
-    special = list(special_tokens(tokenizer_path))
+    special, classes = special_tokens(tokenizer_path), character_classes()
+    tokenizers: dict = {}  # one for each task
     pieces = [row.piece for row in vocabulary(spark, tokenizer_path).orderBy("id").collect()]
     shared = spark.sparkContext.broadcast(pieces)
 
     def words_of(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for block, docs_blob in zip(batch.column(0).to_pylist(), batch.column(1)):
-                words, _ = split_words(unpack(docs_blob.as_buffer())["text"].to_pylist(), special)
+                words, _ = split_words(unpack(docs_blob.as_buffer())["text"].to_pylist(), special, classes)
                 _, distinct, bucket = _dealt(words, buckets)
                 order = np.argsort(bucket, kind="stable")
                 edges = np.searchsorted(bucket[order], np.arange(buckets + 1))
@@ -205,8 +195,14 @@ def encode_and_decode(docs: DataFrame, tokenizer_path: str, **block_options) ->
         table = table.combine_chunks()
         lists = pa.concat_arrays(table["words"].chunks)
         coded = lists.flatten().dictionary_encode()
-        encoded = _tokenizer(tokenizer_path).encode_batch(coded.dictionary.to_pylist(),
-                                                          add_special_tokens=False)
+        if not tokenizers:
+            import os
+
+            os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
+            from tokenizers import Tokenizer
+
+            tokenizers[0] = Tokenizer.from_file(tokenizer_path)
+        encoded = tokenizers[0].encode_batch(coded.dictionary.to_pylist(), add_special_tokens=False)
         counts = np.fromiter((len(e.ids) for e in encoded), np.int64, len(encoded))
         ids = np.fromiter((i for e in encoded for i in e.ids), np.int32, counts.sum())
         at, n = _gather(np.concatenate([[0], np.cumsum(counts)]), coded.indices.to_numpy())
@@ -232,7 +228,7 @@ def encode_and_decode(docs: DataFrame, tokenizer_path: str, **block_options) ->
         piece_of = pa.array(shared.value, pa.large_binary())
         for docs_blob in blocks["docs"]:
             packed = unpack(docs_blob.as_buffer())
-            words, first = split_words(packed["text"].to_pylist(), special)
+            words, first = split_words(packed["text"].to_pylist(), special, classes)
             places, distinct, bucket = _dealt(words, buckets)
             order = np.argsort(bucket, kind="stable")
             at_reply = np.empty(len(order), np.int64)

@@ -120,8 +120,9 @@ def duplicate_groups(docs: DataFrame, **options) -> DataFrame:
     identities = name_documents(docs, **options)
     first = F.min(F.struct((-F.col("n_chars")).alias("a"), F.col("doc_id").isNull().alias("b"),
                            "doc_id", "row"))
-    groups = identities.groupBy("level", "name").agg(
-        F.count(F.lit(1)).alias("group_size"), first.alias("best"))
+    # Written, so that the join reads both sides as they are and can split a large group.
+    groups = materialize(identities.groupBy("level", "name").agg(
+        F.count(F.lit(1)).alias("group_size"), first.alias("best")), "groups")
     return identities.join(groups, ["level", "name"]).select(
         "doc_id", F.col("best.doc_id").alias("keep_id"), "group_size",
         (F.col("row") == F.col("best.row")).alias("kept"), F.col("sha256").alias("text_sha256"),

@@ -2,8 +2,27 @@
 
 from __future__ import annotations
 
+from .bpe import op6_bpe
 from .exact_dedup import OP3_SQL, op3_exact_dedup
+from .html_extraction import op4_html_extraction
+from .line_dedup import op9_line_dedup
 from .mixing import OP10_SQL, op10_mixing
+from .near_dup import op2_near_dedup
+from .pii import op7_pii
+from .suffix_dedup import op1_suffix_dedup
+from .toxicity import op5_toxicity
+from .vector_search import OP8_SQL, op8_vector_search
 
-QUERIES = {"op3_exact_dedup": op3_exact_dedup, "op10_mixing": op10_mixing}
-ORACLES = {"op3_exact_dedup": OP3_SQL, "op10_mixing": OP10_SQL}
+QUERIES = {
+    "op1_suffix_dedup": op1_suffix_dedup,
+    "op2_near_dedup": op2_near_dedup,
+    "op3_exact_dedup": op3_exact_dedup,
+    "op4_html_extraction": op4_html_extraction,
+    "op5_toxicity": op5_toxicity,
+    "op6_bpe": op6_bpe,
+    "op7_pii": op7_pii,
+    "op8_vector_search": op8_vector_search,
+    "op9_line_dedup": op9_line_dedup,
+    "op10_mixing": op10_mixing,
+}
+ORACLES = {"op3_exact_dedup": OP3_SQL, "op8_vector_search": OP8_SQL, "op10_mixing": OP10_SQL}
