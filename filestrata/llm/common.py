@@ -15,7 +15,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..storage import materialize
+from ..storage import scratch_dir
 
 # Documents of about so many bytes of text share a block. Only bounds a task's
 # memory: a longer document has a block of its own.
@@ -30,15 +30,15 @@ def partitions(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
 
 
-def unpack(blob: bytes) -> pa.Table:
-    """The documents of a block: ``doc_id`` and ``text``, null texts as empty."""
+def unpack(blob: bytes | pa.Buffer) -> pa.Table:
+    """A table from its packed bytes. That of a block's documents has ``doc_id`` and
+    ``text``, null texts as empty."""
     with pa.ipc.open_stream(pa.BufferReader(blob)) as reader:
         return reader.read_all()
 
 
-def _pack(ids: list, texts: list) -> bytes:
-    table = pa.table({"doc_id": pa.array(ids, pa.int64()),
-                      "text": pa.array(texts, pa.large_string())})
+def pack(table: pa.Table) -> bytes:
+    """A table as compressed bytes, to be moved as one value."""
     sink = pa.BufferOutputStream()
     options = pa.ipc.IpcWriteOptions(compression=pa.Codec("zstd", compression_level=3))
     with pa.ipc.new_stream(sink, table.schema, options=options) as writer:
@@ -47,10 +47,11 @@ def _pack(ids: list, texts: list) -> bytes:
 
 
 def text_blocks(docs: DataFrame, block_bytes: int = BLOCK_BYTES) -> DataFrame:
-    """``block``, ``n_docs`` and ``docs`` (see ``unpack``), written to the shared folder.
+    """``block`` and ``docs`` (see ``unpack``), written to the shared folder.
 
     Every document is in one block; a block's documents come from one input
-    partition and keep their order.
+    partition and keep their order. The table is bucketed by ``block``: what is
+    grouped by block with it comes to the texts, they are not shuffled.
     """
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -60,8 +61,9 @@ def text_blocks(docs: DataFrame, block_bytes: int = BLOCK_BYTES) -> DataFrame:
             nonlocal number, ids, texts, held
             out = pa.RecordBatch.from_pydict({
                 "block": pa.array([part << 32 | number], pa.int64()),
-                "n_docs": pa.array([len(ids)], pa.int64()),
-                "docs": pa.array([_pack(ids, texts)], pa.binary())})
+                "docs": pa.array([pack(pa.table({
+                    "doc_id": pa.array(ids, pa.int64()),
+                    "text": pa.array(texts, pa.large_string())}))], pa.binary())})
             number, ids, texts, held = number + 1, [], [], 0
             return out
 
@@ -76,6 +78,10 @@ def text_blocks(docs: DataFrame, block_bytes: int = BLOCK_BYTES) -> DataFrame:
         if ids:
             yield flush()
 
-    schema = "block bigint, n_docs bigint, docs binary"
+    spark = docs.sparkSession
     packed = docs.select(F.col("doc_id").cast("bigint"), F.col("text").cast("string"))
-    return materialize(packed.mapInArrow(run, schema), "blocks")
+    path = scratch_dir(spark, "blocks")
+    table = "blocks_" + path.rsplit("-", 1)[-1]
+    (packed.mapInArrow(run, "block bigint, docs binary").write.format("parquet")
+     .bucketBy(partitions(spark), "block").option("path", path).saveAsTable(table))
+    return spark.table(table)

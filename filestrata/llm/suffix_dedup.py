@@ -145,6 +145,31 @@ def _unique_grams(anchors: Anchors, buckets: int):
     return b[starts], d[starts], doc[starts] != doc[ends - 1], index
 
 
+def _leaders(text: np.ndarray, begin: np.ndarray, sizes: np.ndarray, rank: np.ndarray,
+             head: np.ndarray, tail: np.ndarray) -> np.ndarray:
+    """For each piece of text the equal one of smallest rank. Hashes of the first and
+    the last window bring equal pieces together, their bytes decide."""
+    order = np.lexsort((rank, sizes, tail, head))
+    fresh = np.ones(len(order), bool)
+    for key in (head, tail, sizes):
+        k = key[order]
+        fresh[1:] &= k[1:] == k[:-1]
+    fresh[1:] = ~fresh[1:]
+    leader = np.empty(len(order), np.int64)
+    leader[order] = order[np.maximum.accumulate(np.where(fresh, np.arange(len(order)), 0))]
+    others = np.flatnonzero(leader != np.arange(len(order)))
+    width = np.arange(sizes.max(initial=0))
+    for at in range(0, len(others), 100_000):
+        part = others[at:at + 100_000]
+        inside = width < sizes[part][:, None]
+        last = len(text) - 1
+        same = (text[np.minimum(begin[part][:, None] + width, last)]
+                == text[np.minimum(begin[leader[part]][:, None] + width, last)]) | ~inside
+        wrong = part[~same.all(1)]
+        leader[wrong] = wrong
+    return leader
+
+
 def _nearest_smaller(rank: np.ndarray, common: np.ndarray) -> np.ndarray:
     """For each suffix the common prefix with the nearest one before it that has a
     smaller rank (0 if none). ``common[i]`` is that of i - 1 and i."""
@@ -182,13 +207,20 @@ def longest_previous(windows: np.ndarray, rank: np.ndarray) -> np.ndarray:
     return out
 
 
-def _runs(flags: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    edge = np.flatnonzero(np.diff(np.concatenate([[0], flags.astype(np.int8), [0]])))
-    return edge[::2], edge[1::2]
+def _squeeze(numbers: np.ndarray) -> bytes:
+    """Numbers as compressed differences: short where they mostly rise slowly."""
+    raw = np.diff(numbers.astype(np.int64), prepend=np.int64(0)).tobytes()
+    return pa.compress(raw, "zstd", asbytes=True) + len(raw).to_bytes(8, "little")
+
 
+def _unsqueeze(data: bytes) -> np.ndarray:
+    raw = pa.decompress(data[:-8], int.from_bytes(data[-8:], "little"), "zstd", asbytes=True)
+    return np.cumsum(np.frombuffer(raw, np.int64))
 
-# Pieces a block sends to a bucket. A copy is a further place of a piece in the
-# block; its document is complemented if its id is larger than the piece's.
+
+# Pieces a block sends to a bucket, by their place in the block. A copy is a
+# further place of a piece in the block; the number of its document is doubled,
+# plus one if its id is larger than the piece's.
 _PIECE_TYPES = {"bucket": pa.int32(), "block": pa.int64()} | dict.fromkeys(
     ("text", "firsts", "counts", "ids", "docs", "copy_of", "copy_docs", "copy_firsts"), pa.binary())
 _PIECES = ", ".join(f"{n} {'int' if n == 'bucket' else 'bigint' if n == 'block' else 'binary'}"
@@ -292,59 +324,62 @@ def remove_repeats(docs: DataFrame, length: int = LENGTH, gram: int = GRAM,
                 fresh[at] = True
         leader = np.where(fresh, np.arange(len(first)), leader)
         edges = np.searchsorted(bucket, np.arange(buckets + 1))
-        starts = anchors.begins[row]
         later = ids[row] > ids[row[leader]]
         out = {n: [] for n in _PIECE_TYPES}
         for b in np.flatnonzero(np.diff(edges)):
             part = slice(edges[b], edges[b + 1])
             own = np.flatnonzero(fresh[part]) + edges[b]
+            own = own[np.argsort(first[own], kind="stable")]
             copies = np.flatnonzero(~fresh[part]) + edges[b]
+            copies = copies[np.argsort(first[copies], kind="stable")]
+            place = np.empty(edges[b + 1] - edges[b], np.int64)
+            place[own - edges[b]] = np.arange(len(own))
             text = b"".join(anchors.raw[f:f + c + length - 1] for f, c in zip(first[own], count[own]))
             out["bucket"].append(b)
             out["block"].append(block)
             out["text"].append(pa.compress(text, "zstd", asbytes=True)
                                + len(text).to_bytes(8, "little"))
-            for name, data, kind in (
-                    ("firsts", (first - starts)[own], np.int32), ("counts", count[own], np.uint8),
-                    ("ids", ids[row[own]], np.int64), ("docs", row[own], np.int32),
-                    ("copy_of", np.searchsorted(own, leader[copies]), np.int32),
-                    ("copy_docs", np.where(later, ~row, row)[copies], np.int32), ("copy_firsts", (first - starts)[copies], np.int32)):
-                out[name].append(data.astype(kind).tobytes())
+            for name, data in (
+                    ("firsts", first[own]), ("counts", count[own]), ("ids", ids[row[own]]),
+                    ("docs", row[own]), ("copy_of", place[leader[copies] - edges[b]]),
+                    ("copy_docs", row[copies] * 2 + later[copies]), ("copy_firsts", first[copies])):
+                out[name].append(_squeeze(data))
         return pa.table({n: pa.array(v, _PIECE_TYPES[n]) for n, v in out.items()})
 
     def compare(table: pa.Table) -> pa.Table:
-        def joined(name: str, kind) -> tuple[np.ndarray, np.ndarray]:
-            lists = [np.frombuffer(x, kind) for x in table[name].to_pylist()]
+        def joined(name: str) -> tuple[np.ndarray, np.ndarray]:
+            lists = [_unsqueeze(x) for x in table[name].to_pylist()]
             return np.concatenate(lists), np.array([len(x) for x in lists])
 
         text = np.frombuffer(b"".join(
             pa.decompress(t[:-8], int.from_bytes(t[-8:], "little"), "zstd", asbytes=True)
             for t in table["text"].to_pylist()), np.uint8)
-        count, per_block = joined("counts", np.uint8)
-        count = count.astype(np.int64)
-        first, _ = joined("firsts", np.int32)
-        rank, _ = joined("ids", np.int64)
-        doc, _ = joined("docs", np.int32)
-        owner = np.repeat(np.arange(len(per_block)), per_block)
+        (count, per_block), (first, _), (rank, _), (doc, _) = map(
+            joined, ("counts", "firsts", "ids", "docs"))
         sizes = count + length - 1
         begin = np.cumsum(sizes) - sizes
-        piece = np.repeat(np.arange(len(count)), count)
-        offset = np.arange(count.sum()) - np.repeat(np.cumsum(count) - count, count)
-        start = begin[piece] + offset
-        # Windows whose hash no other document's has are no repeats.
         _, hashed = _hashes(text, 1, length)
+        # Equal pieces of several blocks: all of a later document's repeats the
+        # earliest one's, which alone is compared with other pieces.
+        leader = _leaders(text, begin, sizes, rank, hashed[begin], hashed[begin + count - 1])
+        whole = rank > rank[leader]
+        alone = np.flatnonzero(leader == np.arange(len(count)))
+        times = count[alone]
+        piece = np.repeat(alone, times)
+        offset = np.arange(times.sum()) - np.repeat(np.cumsum(times) - times, times)
+        start = begin[piece] + offset
         hashed = hashed[start]
+        # Windows whose hash no other document's has are no repeats.
         order = np.lexsort((rank[piece], hashed))
         h, r = hashed[order], rank[piece][order]
-        run = np.cumsum(np.concatenate([[True], h[1:] != h[:-1]])) - 1
-        heads = np.flatnonzero(np.concatenate([[True], run[1:] != run[:-1]]))
-        several = r[heads] != r[np.append(heads[1:], len(r)) - 1]
-        chosen = order[several[run]]
-        repeat = np.zeros(len(start), bool)
+        heads = np.flatnonzero(np.concatenate([[True], h[1:] != h[:-1]]))
+        per_run = np.diff(np.append(heads, len(h)))
+        several = np.repeat(r[heads] != r[heads + per_run - 1], per_run)
+        chosen, runs = order[several], np.repeat(np.arange(len(heads)), per_run)[several]
+        found = np.zeros(len(start), bool)
         # Equal hashes are next to each other: a part ends where a run of them does.
         step = 250_000
         cuts, at = [0], 0
-        runs = run[several[run]]
         while at < len(chosen):
             at = min(at + step, len(chosen))
             while at < len(chosen) and runs[at] == runs[at - 1]:
@@ -353,24 +388,29 @@ def remove_repeats(docs: DataFrame, length: int = LENGTH, gram: int = GRAM,
         for a, b in zip(cuts[:-1], cuts[1:]):
             part = chosen[a:b]
             windows = text[start[part][:, None] + np.arange(length)]
-            repeat[part] = longest_previous(windows, rank[piece[part]]) >= length
+            found[part] = longest_previous(windows, rank[piece[part]]) >= length
+        # Every piece's windows: those of its leader, or all.
+        window_of = np.zeros(len(count), np.int64)
+        window_of[alone] = np.cumsum(times) - times
+        window_edge = np.concatenate([[0], np.cumsum(count)])
+        each = np.repeat(np.arange(len(count)), count)
+        offset = np.arange(window_edge[-1]) - window_edge[:-1][each]
+        repeat = whole[each] | found[window_of[leader[each]] + offset]
+        piece = each
         spans = {n: [] for n in ("block", "docs", "starts", "ends")}
         blocks_of = table["block"].to_pylist()
         edge = np.concatenate([[0], np.cumsum(per_block)])
-        window_edge = np.concatenate([[0], np.cumsum(count)])
         for k, block in enumerate(blocks_of):
             a, b = edge[k], edge[k + 1]
-            copy_of = np.frombuffer(table["copy_of"][k].as_py(), np.int32) + a
-            copy_doc = np.frombuffer(table["copy_docs"][k].as_py(), np.int32)
-            copy_first = np.frombuffer(table["copy_firsts"][k].as_py(), np.int32)
+            copy_of = _unsqueeze(table["copy_of"][k].as_py()) + a
+            copy_doc, copy_first = (_unsqueeze(table[n][k].as_py()) for n in ("copy_docs", "copy_firsts"))
+            # All of a copy goes if its document is later than the piece's, else
+            # what goes of the piece.
+            later, copy_doc = copy_doc % 2 == 1, copy_doc // 2
             docs_out, starts_out = [], []
             hit = np.flatnonzero(repeat[window_edge[a]:window_edge[b]]) + window_edge[a]
             docs_out.append(doc[piece[hit]])
             starts_out.append(first[piece[hit]] + offset[hit])
-            # All of a copy goes if its document is later than the piece's, else
-            # what goes of the piece.
-            later = copy_doc < 0
-            copy_doc = np.where(later, ~copy_doc, copy_doc)
             times = count[copy_of]
             each = np.repeat(np.arange(len(copy_of)), times)
             step_in = np.arange(times.sum()) - np.repeat(np.cumsum(times) - times, times)
@@ -404,7 +444,8 @@ def remove_repeats(docs: DataFrame, length: int = LENGTH, gram: int = GRAM,
                                                           )]).astype(np.int64)
                    for n in ("docs", "starts", "ends"))
         order = np.lexsort((s, d))
-        d, s, e = d[order], s[order], e[order]
+        begins = np.cumsum([0, *map(len, texts)])
+        d, s, e = d[order], (s - begins[d])[order], (e - begins[d])[order]
         edges = np.searchsorted(d, np.arange(len(texts) + 1))
         removed, kept = [], []
         for k, text in enumerate(texts):
