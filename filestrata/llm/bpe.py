@@ -18,7 +18,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import partitions, read, text_blocks, unpack
+from .common import pack, partitions, read, text_blocks, unpack
 
 # Fixed values of the split pattern of byte-level BPE: its white space (as ranges)
 # and the English endings it cuts off, in its order.
@@ -137,14 +137,21 @@ def _gather(offsets: np.ndarray, chosen: np.ndarray) -> tuple[np.ndarray, np.nda
 
 
 def _dealt(words: pa.Array, buckets: int) -> tuple[np.ndarray, pa.Array, np.ndarray]:
-    """For each place the index of its distinct word, the distinct words, their bucket."""
+    """For each place the index of its distinct word, the distinct words by bucket and
+    then by letters, and where each bucket's begin (with the total at the end)."""
     import zlib
 
     coded = words.dictionary_encode()
     distinct = coded.dictionary
+    letters = pc.sort_indices(distinct).to_numpy()
+    distinct = distinct.take(pa.array(letters))
     bucket = np.fromiter((zlib.crc32(w.encode()) % buckets for w in distinct.to_pylist()),
                          np.int64, len(distinct))
-    return coded.indices.to_numpy(), distinct, bucket
+    order = np.argsort(bucket, kind="stable")
+    index = np.empty(len(order), np.int64)
+    index[letters[order]] = np.arange(len(order))
+    return (index[coded.indices.to_numpy()], distinct.take(pa.array(order)),
+            np.searchsorted(bucket[order], np.arange(buckets + 1)))
 
 
 def vocabulary(spark: SparkSession, path: str) -> DataFrame:
@@ -175,26 +182,22 @@ def encode_and_decode(docs: DataFrame, tokenizer_path: str, **block_options) ->
     tokenizers: dict = {}  # one for each task
     pieces = [row.piece for row in vocabulary(spark, tokenizer_path).orderBy("id").collect()]
     shared = spark.sparkContext.broadcast(pieces)
+    kind = np.uint16 if len(pieces) <= 1 << 16 else np.int32
 
     def words_of(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for block, docs_blob in zip(batch.column(0).to_pylist(), batch.column(1)):
-                words, _ = split_words(unpack(docs_blob.as_buffer())["text"].to_pylist(), special, classes)
-                _, distinct, bucket = _dealt(words, buckets)
-                order = np.argsort(bucket, kind="stable")
-                edges = np.searchsorted(bucket[order], np.arange(buckets + 1))
+                words, _ = split_words(
+                    unpack(docs_blob.as_buffer())["text"].to_pylist(), special, classes)
+                _, distinct, edges = _dealt(words, buckets)
                 used = np.flatnonzero(np.diff(edges))
-                offsets = np.append(edges[used], len(order))
-                dealt = distinct.take(pa.array(order)).cast(pa.string())
+                blobs = [pack(pa.table({"word": distinct[edges[b]:edges[b + 1]]})) for b in used]
                 yield pa.RecordBatch.from_pydict({
                     "bucket": pa.array(used, pa.int32()),
                     "block": pa.array(np.full(len(used), block), pa.int64()),
-                    "words": pa.ListArray.from_arrays(pa.array(offsets, pa.int32()), dealt)})
+                    "words": pa.array(blobs, pa.binary())})
 
     def encode(table: pa.Table) -> pa.Table:
-        table = table.combine_chunks()
-        lists = pa.concat_arrays(table["words"].chunks)
-        coded = lists.flatten().dictionary_encode()
         if not tokenizers:
             import os
 
@@ -202,40 +205,35 @@ def encode_and_decode(docs: DataFrame, tokenizer_path: str, **block_options) ->
             from tokenizers import Tokenizer
 
             tokenizers[0] = Tokenizer.from_file(tokenizer_path)
+        lists = [unpack(w)["word"].combine_chunks() for w in table["words"].to_pylist()]
+        coded = pa.chunked_array(lists).combine_chunks().dictionary_encode()
         encoded = tokenizers[0].encode_batch(coded.dictionary.to_pylist(), add_special_tokens=False)
         counts = np.fromiter((len(e.ids) for e in encoded), np.int64, len(encoded))
-        ids = np.fromiter((i for e in encoded for i in e.ids), np.int32, counts.sum())
+        ids = np.fromiter((i for e in encoded for i in e.ids), np.int32, counts.sum()).astype(kind)
         at, n = _gather(np.concatenate([[0], np.cumsum(counts)]), coded.indices.to_numpy())
         per_word = np.concatenate([[0], np.cumsum(n)])
-        edges = lists.offsets.to_numpy() - lists.offsets[0].as_py()
-        return pa.table({
-            "block": table["block"], "bucket": table["bucket"],
-            "counts": pa.ListArray.from_arrays(pa.array(edges, pa.int32()),
-                                               pa.array(n.astype(np.int16))),
-            "ids": pa.ListArray.from_arrays(pa.array(per_word[edges], pa.int32()),
-                                            pa.array(ids[at]))})
+        edges = np.concatenate([[0], np.cumsum([len(x) for x in lists])])
+        replies = [pack(pa.table({
+            "counts": pa.array([n[a:b].astype(np.int32)], pa.list_(pa.int32())),
+            "ids": pa.array([ids[at[per_word[a]:per_word[b]]]])})) for a, b in zip(edges[:-1], edges[1:])]
+        return pa.table({"block": table["block"], "bucket": table["bucket"],
+                         "ids": pa.array(replies, pa.binary())})
 
     def put_back(blocks: pa.Table, replies: pa.Table) -> pa.Table:
         out = []
-        by_bucket = np.argsort(replies["bucket"].to_numpy()) if len(replies) else []
-        replies = replies.take(pa.array(by_bucket, pa.int64()))
-        counts = replies["counts"].combine_chunks()
-        ids = replies["ids"].combine_chunks()
-        n = (np.concatenate([c.flatten().to_numpy() for c in counts.chunks]).astype(np.int64)
-             if isinstance(counts, pa.ChunkedArray) else counts.flatten().to_numpy().astype(np.int64))
-        ids = (np.concatenate([c.flatten().to_numpy() for c in ids.chunks])
-               if isinstance(ids, pa.ChunkedArray) else ids.flatten().to_numpy())
+        ordered = replies.sort_by("bucket") if len(replies) else replies
+        parts = [unpack(x) for x in ordered["ids"].to_pylist()]
+        join = lambda name, kind: np.concatenate(
+            [np.empty(0, kind), *(p[name].chunk(0).values.to_numpy() for p in parts)])
+        n, ids = join("counts", np.int64).astype(np.int64), join("ids", kind).astype(np.int32)
         piece_of = pa.array(shared.value, pa.large_binary())
         for docs_blob in blocks["docs"]:
             packed = unpack(docs_blob.as_buffer())
             words, first = split_words(packed["text"].to_pylist(), special, classes)
-            places, distinct, bucket = _dealt(words, buckets)
-            order = np.argsort(bucket, kind="stable")
-            at_reply = np.empty(len(order), np.int64)
-            at_reply[order] = np.arange(len(order))
-            if len(n) != len(order):
+            places, distinct, _ = _dealt(words, buckets)
+            if len(n) != len(distinct):
                 raise ValueError("a block's words and its replies differ")
-            at, per_place = _gather(np.concatenate([[0], np.cumsum(n)]), at_reply[places])
+            at, per_place = _gather(np.concatenate([[0], np.cumsum(n)]), places)
             own = ids[at]
             edges = np.concatenate([[0], np.cumsum(per_place)])[first]
             joined = piece_of.take(pa.array(own))
@@ -251,9 +249,9 @@ def encode_and_decode(docs: DataFrame, tokenizer_path: str, **block_options) ->
         return pa.concat_tables(out)
 
     dealt = blocks.select("block", "docs").mapInArrow(
-        words_of, "bucket int, block bigint, words array<string>")
+        words_of, "bucket int, block bigint, words binary")
     replies = dealt.groupBy("bucket").applyInArrow(
-        encode, "block bigint, bucket int, counts array<smallint>, ids array<int>")
+        encode, "block bigint, bucket int, ids binary")
     return blocks.select("block", "docs").groupBy("block").cogroup(replies.groupBy("block")).applyInArrow(
         put_back, "doc_id bigint, ids array<int>, decoded string")
 
