@@ -17,7 +17,7 @@ from hashlib import md5
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..storage import materialize
@@ -31,7 +31,6 @@ ROWS = 6
 # How often each text is tried against the most central text of its buckets
 # before what is left is compared pair by pair.
 HUB_ROUNDS = 3
-HUBS = 3
 # Elements and darts handled at a time: bounds a task's memory.
 AT_ONCE = 2_000_000
 
@@ -156,6 +155,12 @@ def _chunks(lengths: list[int]) -> Iterator[tuple[int, int]]:
         yield start, len(lengths)
 
 
+def _keys(values: np.ndarray, begins: np.ndarray) -> pa.Array:
+    """The digest of each set."""
+    return pa.array([md5(values[a:b].tobytes()).digest() for a, b in zip(begins[:-1], begins[1:])],
+                    pa.binary())
+
+
 def _profiles(texts: DataFrame, bands: int, rows: int) -> DataFrame:
     """``doc_id``, ``set_key`` (digest of the shingle set), ``n`` and ``bands``."""
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -164,9 +169,8 @@ def _profiles(texts: DataFrame, bands: int, rows: int) -> DataFrame:
             for a, b in _chunks(list(map(len, all_texts))):
                 values, begins = shingle_sets(all_texts[a:b])
                 keys = _bands(dart_signatures(values, begins, bands * rows), bands, rows)
-                digests = [md5(values[x:y].tobytes()).digest() for x, y in zip(begins[:-1], begins[1:])]
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(all_ids[a:b], pa.int64()), pa.array(digests, pa.binary()),
+                    [pa.array(all_ids[a:b], pa.int64()), _keys(values, begins),
                      pa.array(np.diff(begins)),
                      pa.ListArray.from_arrays(pa.array(np.arange(b - a + 1) * bands, pa.int32()),
                                               pa.array(keys.reshape(-1)))],
@@ -177,20 +181,21 @@ def _profiles(texts: DataFrame, bands: int, rows: int) -> DataFrame:
 
 
 def _sets(texts: DataFrame, wanted: DataFrame) -> DataFrame:
-    """``doc_id`` and ``shingles`` of the documents in ``wanted``."""
+    """``doc_id`` and ``shingles`` of the documents and sets in ``wanted``."""
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             ids, all_texts = (c.to_pylist() for c in batch.columns)
             for a, b in _chunks(list(map(len, all_texts))):
                 values, begins = shingle_sets(all_texts[a:b])
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(ids[a:b], pa.int64()),
+                    [pa.array(ids[a:b], pa.int64()), _keys(values, begins),
                      pa.ListArray.from_arrays(pa.array(begins, pa.int32()), pa.array(values.view(np.int64)))],
-                    names=["doc_id", "shingles"])
+                    names=["doc_id", "set_key", "shingles"])
 
-    chosen = texts.join(wanted, "doc_id", "left_semi").select("doc_id", "text")
-    return materialize(chosen.mapInArrow(run, "doc_id bigint, shingles array<bigint>")
-                       .dropDuplicates(["doc_id"]), "shingle-sets")
+    chosen = texts.join(wanted.select("doc_id"), "doc_id", "left_semi").select("doc_id", "text")
+    sets = chosen.mapInArrow(run, "doc_id bigint, set_key binary, shingles array<bigint>")
+    return materialize(sets.join(wanted, ["doc_id", "set_key"], "left_semi")
+                       .dropDuplicates(["doc_id"]).select("doc_id", "shingles"), "shingle-sets")
 
 
 def _verified(pairs: DataFrame, sets: DataFrame, similarity: float) -> DataFrame:
@@ -249,8 +254,9 @@ def near_duplicates(docs: DataFrame, similarity: float = SIMILARITY, bands: int
     with the same set are one node of the chain; ``n_links`` counts a node's
     verified links that were needed to join the class. Documents without words
     and rows without an id are classes of their own. Rows that repeat a
-    ``doc_id`` belong to its class, and one of them is kept. An empty table gives
-    no rows; other columns are ignored.
+    ``doc_id`` are one document: the row with most shingles speaks for it, and
+    they are kept or not together. An empty table gives no rows; other columns
+    are ignored.
 
     Buckets are of any size and none is cut: each text is first tried against
     the most central texts of its buckets, which joins a group of copies by as
@@ -260,44 +266,52 @@ def near_duplicates(docs: DataFrame, similarity: float = SIMILARITY, bands: int
     texts = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"),
                         F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"))
     profiles = _profiles(texts.where("doc_id is not null"), bands, rows)
+    # A document is its id: should rows differ, the one with most shingles counts.
+    one = F.max(F.struct("n", "set_key", "bands")).alias("one")
+    documents = profiles.where("n > 0").groupBy("doc_id").agg(one).select("doc_id", "one.*")
     nodes = materialize(
-        profiles.where("n > 0").groupBy("set_key", "n").agg(F.min(F.struct("doc_id", "bands")).alias("one"))
+        documents.groupBy("set_key", "n").agg(F.min(F.struct("doc_id", "bands")).alias("one"))
         .select("set_key", F.col("one.doc_id").alias("doc_id"), "n", F.col("one.bands").alias("bands")),
         "nodes")
+    members = materialize(documents.select("doc_id", "set_key"), "members")
     posted = nodes.select("doc_id", "n", F.explode("bands").alias("bucket"))
     shared = posted.groupBy("bucket").agg(F.count(F.lit(1)).alias("members")).where("members > 1")
     posted = materialize(posted.join(shared, "bucket"), "postings")
-    central = posted.groupBy("doc_id").agg(F.sum("members").alias("central"))
-    ranked = Window.partitionBy("bucket").orderBy(F.col("central").desc(), "doc_id")
-    # The filter on the rank lets every task drop all but its best rows of a bucket.
-    hubs = materialize(
-        posted.join(central, "doc_id").select("bucket", "central", F.col("doc_id").alias("b"),
-                                              F.col("n").alias("b_n"))
-        .withColumn("turn", F.row_number().over(Window.partitionBy("bucket").orderBy(
-            F.col("central").desc(), "b"))).where(F.col("turn") <= HUBS), "hubs")
-    sets = _sets(texts, central.select("doc_id"))
+    central = materialize(posted.groupBy("doc_id").agg(F.sum("members").alias("central")), "central")
+    sets = _sets(texts, nodes.join(central, "doc_id", "left_semi").select("doc_id", "set_key"))
     alike = F.least("n", "b_n") >= similarity * F.greatest("n", "b_n")
-    options = materialize(
-        posted.join(hubs, "bucket").where((F.col("doc_id") != F.col("b")) & alike)
-        .groupBy(F.col("doc_id").alias("a"), "b").agg(F.max("central").alias("central")), "options")
     labels = central.select("doc_id", F.col("doc_id").alias("component"))
-    labels, links = materialize(labels, "components"), None
-    of = lambda side: labels.select(F.col("doc_id").alias(side), F.col("component").alias(f"{side}_c"))
+    rest = posted.join(central, "doc_id").select(
+        "bucket", "doc_id", "n", "central", F.col("doc_id").alias("component"))
+    links, tried = None, None
     for _ in range(HUB_ROUNDS):
-        apart = options.join(of("a"), "a").join(of("b"), "b").where("a_c <> b_c")
-        best = materialize(apart.groupBy("a").agg(F.max_by("b", F.struct("central", -F.col("b"))).alias("b")),
-                           "pairs")
-        if best.isEmpty():
+        free = rest if tried is None else rest.join(tried, ["bucket", "doc_id"], "left_anti")
+        # Aggregates, reduced in every task: a bucket of any size gives one hub.
+        hubs = materialize(free.groupBy("bucket").agg(
+            F.max_by(F.struct("doc_id", "n", "central", "component"),
+                     F.struct("central", -F.col("doc_id"))).alias("hub")).select(
+            "bucket", F.col("hub.doc_id").alias("b"), F.col("hub.n").alias("b_n"),
+            F.col("hub.central").alias("b_central"), F.col("hub.component").alias("b_c")), "hubs")
+        best = materialize(
+            rest.select("bucket", "doc_id", "n", "component").join(hubs, "bucket")
+            .where((F.col("component") != F.col("b_c")) & alike)
+            .groupBy(F.col("doc_id").alias("a"))
+            .agg(F.max_by("b", F.struct("b_central", -F.col("b"))).alias("b")), "pairs")
+        used = hubs.select("bucket", F.col("b").alias("doc_id"))
+        tried = used if tried is None else materialize(tried.unionByName(used), "tried")
+        if not best.isEmpty():
+            found = _verified(best, sets, similarity)
+            links = found if links is None else links.unionByName(found)
+            labels = _grown(labels, found)
+        # Only buckets whose members are still in different components go on.
+        placed = posted.join(labels, "doc_id")
+        mixed = placed.groupBy("bucket").agg(
+            F.min("component").alias("low"), F.max("component").alias("high")).where("low <> high")
+        rest = materialize(placed.join(mixed.select("bucket"), "bucket").join(central, "doc_id").select(
+            "bucket", "doc_id", "n", "central", "component"), "rest")
+        if rest.isEmpty():
             break
-        options = options.join(best, ["a", "b"], "left_anti")
-        found = _verified(best, sets, similarity)
-        links = found if links is None else links.unionByName(found)
-        labels = _grown(labels, found)
-    # Exact for what is left: members of one bucket still in different components.
-    mixed = posted.join(labels, "doc_id").groupBy("bucket").agg(
-        F.min("component").alias("low"), F.max("component").alias("high")).where("low <> high")
-    rest = materialize(posted.join(labels, "doc_id").join(mixed.select("bucket"), "bucket")
-                       .select("bucket", "doc_id", "n", "component"), "rest")
+    # Exact for what is left, pair by pair.
     other = rest.select("bucket", F.col("doc_id").alias("b"), F.col("n").alias("b_n"),
                         F.col("component").alias("b_c"))
     pairs = rest.join(other, "bucket").where(
@@ -311,11 +325,15 @@ def near_duplicates(docs: DataFrame, similarity: float = SIMILARITY, bands: int
     named = (nodes.join(labels, "doc_id", "left").join(counted, F.col("doc_id") == F.col("node"), "left")
              .select("set_key", F.coalesce("component", "doc_id").alias("class_id"),
                      F.coalesce("n_links", F.lit(0)).alias("n_links")))
-    grouped = profiles.where("n > 0").select("doc_id", "set_key").join(named, "set_key").select(
-        "doc_id", "class_id", "n_links")
-    alone = profiles.where("n = 0").select("doc_id", F.col("doc_id").alias("class_id"), F.lit(0).cast("bigint").alias("n_links"))
-    placed = materialize(grouped.unionByName(alone), "classes")
-    sizes = placed.groupBy("class_id").agg(F.count(F.lit(1)).alias("class_size"))
+    classes = members.join(named, "set_key").select("doc_id", "class_id", "n_links")
+    # Rows in turn: those of one id share its class.
+    placed = materialize(
+        profiles.select("doc_id").join(classes, "doc_id", "left").select(
+            "doc_id", F.coalesce("class_id", "doc_id").alias("class_id"),
+            F.coalesce("n_links", F.lit(0)).cast("bigint").alias("n_links")), "classes")
+    # Written, so that the join reads both sides as they are and can split a large class.
+    sizes = materialize(
+        placed.groupBy("class_id").agg(F.count(F.lit(1)).alias("class_size")), "class-sizes")
     unnamed = texts.where("doc_id is null").select(
         "doc_id", F.lit(None).cast("bigint").alias("class_id"), F.lit(1).cast("bigint").alias("class_size"),
         F.lit(True).alias("kept"), F.lit(0).cast("bigint").alias("n_links"))
