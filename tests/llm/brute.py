@@ -70,7 +70,7 @@ def personal(text):
     text = text or ""
     out = [(m.start(), 0, m.end()) for m in EMAIL.finditer(text)]
     out += [(m.start(), 1, m.end()) for m in IP.finditer(text)
-            if all(int(p) <= 255 for p in m[0].split("."))]
+            if all(len(p.lstrip("0")) <= 3 and int(p.lstrip("0") or 0) <= 255 for p in m[0].split("."))]
     for m in CARD.finditer(text):
         d = [int(c) for c in m[0] if c.isdigit()][::-1]
         total = sum(d[::2]) + sum(sum(divmod(2 * x, 10)) for x in d[1::2])
