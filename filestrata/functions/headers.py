@@ -46,6 +46,7 @@ def layout_name(name: str) -> str:
     """The contract-portfolio layout's own rule; punctuation other than
     ``/ % .`` and runs of ``_`` stay."""
     text = fold_ascii(name.strip().lower())
+    # The layout's replacements, in its order.
     for old, new in (("/", "_"), ("%", "percentual"), (" ", "_"), (".", "")):
         text = text.replace(old, new)
     return text

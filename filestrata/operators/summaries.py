@@ -34,7 +34,8 @@ def shape(df: DataFrame) -> tuple[int, int]:
 def latest(df: DataFrame, order: Sequence[str], per: Sequence[str] = ()) -> DataFrame:
     """The last row by ``order``, for the whole frame or for each group.
 
-    Reduced in every task before the shuffle, so a hot group is no bottleneck.
+    Every task sorts and reduces its rows before the shuffle, so a hot group is no
+    bottleneck.
     """
     last = F.max_by(F.struct(*df.columns), F.struct(*order)).alias("_row")
     grouped = df.groupBy(*per) if per else df.groupBy()
@@ -43,10 +44,10 @@ def latest(df: DataFrame, order: Sequence[str], per: Sequence[str] = ()) -> Data
 
 def latest_file(landing: DataFrame, condition: Column) -> DataFrame:
     """The newest snapshot's file among those that meet a condition."""
-    found = latest(landing.where(condition), ["snapshot_date", "source_path"])
-    if found.isEmpty():
+    found = latest(landing.where(condition), ["snapshot_date", "source_path"]).first()
+    if found is None:
         raise ValueError("No file meets the condition")
-    return found
+    return landing.sparkSession.createDataFrame([found], landing.schema)
 
 
 def first_rows(df: DataFrame, n: int, order: Sequence[str | Column]) -> DataFrame:

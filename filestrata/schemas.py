@@ -1,4 +1,5 @@
-"""Fixed schemas of the control and canonical tables."""
+"""Schemas of the control and canonical tables: fixed values throughout, since other
+programs read these tables by their column names and types."""
 
 from __future__ import annotations
 
@@ -42,7 +43,7 @@ MANIFEST_KEYS = ["source_file", "snapshot_date", "file_hash"]
 QUALITY_LOG = _struct(
     "logged_at timestamp, source_file string, snapshot_date string, "
     "source_path string, issue_type string, issue_description string, "
-    "line_number int, severity string"
+    "line_number bigint, severity string"
 )
 
 GROUP_OUTCOME = _struct(

@@ -16,6 +16,7 @@ from urllib.parse import quote
 
 from pyarrow import fs as arrow_fs
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 Result = TypeVar("Result")
 
@@ -43,15 +44,25 @@ def scratch_dir(spark: SparkSession, label: str) -> str:
     return folder
 
 
-def clear_scratch(spark: SparkSession) -> None:
-    """Delete the folders this driver staged tables in.
+def scratch_mark() -> int:
+    """How many folders are handed out so far, see ``clear_scratch``."""
+    return len(_scratch_folders)
 
-    For the end of an application, or between batches whose frames have been
-    written: lazily read frames need their staged tables.
+
+def clear_scratch(spark: SparkSession, since: int = 0, keep: Sequence[str] = ()) -> None:
+    """Delete the folders this driver staged tables in, ``since`` a mark.
+
+    For the end of a job, or of an application: lazily read frames need their
+    staged tables. Jobs that end with this run one at a time in a driver.
     """
-    while _scratch_folders:
-        filesystem, target = _hadoop(spark, _scratch_folders.pop())
-        filesystem.delete(target, True)
+    kept = []
+    while len(_scratch_folders) > since:
+        folder = _scratch_folders.pop()
+        if folder in keep:
+            kept.append(folder)
+            continue
+        delete_path(spark, folder)
+    _scratch_folders.extend(kept)
 
 
 def stage(df: DataFrame, label: str, partition_by: Sequence[str] = ()) -> str:
@@ -66,18 +77,27 @@ def materialize(df: DataFrame, label: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(stage(df, label))
 
 
+# Of files that a task opens one after the other: so many, or so many bytes.
+FILES_PER_TASK = 64
+BYTES_PER_TASK = 256 * 1024 * 1024
+
+
 def spread_files(files: DataFrame, tasks: int | None = None) -> DataFrame:
     """Deal file rows out evenly to tasks before work that opens each file.
 
     A row is a few bytes but its file may be large, so the number of tasks is
-    given outright: adaptive coalescing would merge such tiny partitions.
+    given outright, from the number of files and, where known, their bytes:
+    adaptive coalescing would merge such tiny partitions.
     """
     spark = files.sparkSession
-    default = max(
-        spark.sparkContext.defaultParallelism,
-        int(spark.conf.get("spark.sql.shuffle.partitions")),
-    )
-    return files.repartition(tasks or default)
+    if tasks is None:
+        size = F.sum("file_size_bytes") if "file_size_bytes" in files.columns else F.lit(0)
+        n, size = files.agg(F.count(F.lit(1)), size).first()
+        least = max(spark.sparkContext.defaultParallelism,
+                    int(spark.conf.get("spark.sql.shuffle.partitions")))
+        wanted = max(least, -(-n // FILES_PER_TASK), -(-(size or 0) // BYTES_PER_TASK))
+        tasks = max(1, min(n, wanted))
+    return files.repartition(tasks)
 
 
 def _hadoop(spark: SparkSession, path: str):
@@ -90,6 +110,11 @@ def path_exists(spark: SparkSession, path: str) -> bool:
     return filesystem.exists(target)
 
 
+def delete_path(spark: SparkSession, path: str) -> None:
+    filesystem, target = _hadoop(spark, path)
+    filesystem.delete(target, True)
+
+
 def child_names(spark: SparkSession, path: str) -> list[str]:
     """Names directly under a folder; none if it is missing."""
     filesystem, target = _hadoop(spark, path)
@@ -114,13 +139,14 @@ def task_filesystem(path: str) -> tuple[arrow_fs.FileSystem, str]:
 
 
 def with_attempts(
-    action: Callable[[], Result], attempts: int = 3, delay_seconds: float = 2.0
+    action: Callable[[], Result], attempts: int = 3, delay_seconds: float = 2.0,
+    retry_on: type[Exception] = Exception,
 ) -> tuple[Result, int]:
     """Run an action again after a failure; returns its result and the retries."""
     for attempt in range(attempts):
         try:
             return action(), attempt
-        except Exception:
+        except retry_on:
             if attempt == attempts - 1:
                 raise
             time.sleep(delay_seconds)
