@@ -48,19 +48,21 @@ from orders"""
 EVENT_STATE = StructType([
     StructField("user_id", LongType()), StructField("event_type", StringType()),
     StructField("ts", TimestampType()), StructField("event_id", LongType()),
+    StructField("turn", LongType()),
 ])
 
 
 def manifest_upsert(spark, sf):
-    """Two upserts of event halves; each key keeps its last event. Errors have
-    no user, so one null-keyed group holds many rows."""
+    """Two upserts of event halves; each key keeps what arrived last, although its
+    order column says otherwise: the earlier half has the higher numbers. Errors
+    have no user, so one null-keyed group holds many rows."""
     events = table(spark, sf, "events").select(
         F.when(F.col("event_type") != "error", F.col("user_id")).alias("user_id"),
-        "event_type", "ts", "event_id")
+        "event_type", "ts", "event_id", (-F.col("event_id")).alias("turn"))
     root = scratch_dir(spark, "event-state")
     middle = F.lit("2024-01-16").cast("timestamp")
     for half in (events.where(F.col("ts") < middle), events.where(F.col("ts") >= middle)):
-        K.upsert_manifest(half, root, ["user_id", "event_type"], "event_id", EVENT_STATE)
+        K.upsert_manifest(half, root, ["user_id", "event_type"], "turn", EVENT_STATE)
     state = K.read_manifest(spark, root, EVENT_STATE)
     return state.select("user_id", "event_type", "event_id")
 
@@ -72,7 +74,7 @@ with e as (
   from events)
 select user_id, event_type, event_id from e
 qualify row_number() over (
-  partition by user_id, event_type order by ts >= timestamp '2024-01-16' desc, event_id desc) = 1"""
+  partition by user_id, event_type order by ts >= timestamp '2024-01-16' desc, event_id) = 1"""
 
 
 def success_records(spark, sf):

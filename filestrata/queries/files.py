@@ -12,7 +12,7 @@ from ..functions.text import NULL_TOKENS
 from ..operators.control import read_manifest
 from ..plans.bronze import BronzeBatch, bad_row_records
 from ..plans.landing import run_landing
-from ..schemas import EXECUTION_LOG
+from ..schemas import EXECUTION_LOG, QUALITY_LOG
 from ..sources import delimited, workbook
 from ..sources.files import hash_files
 from ..sources.groups import drop_empty_rows
@@ -48,6 +48,32 @@ select doc_id::varchar as no_documento,
 from documents"""
 
 
+def csv_line_ends(spark, sf):
+    """Whole documents, line breaks in their text, as small files whose rows end
+    with LF, CR, CRLF or each of them in turn."""
+    documents = table(spark, sf, "documents").select("doc_id", "text")
+    ends = F.array(F.lit("\n"), F.lit("\r"), F.lit("\r\n"))
+    kind = F.floor(F.col("doc_id") / 25) % 4
+    end = F.get(ends, F.when(kind == 3, F.col("doc_id") % 3).otherwise(kind).cast("int"))
+    row = F.concat(F.col("doc_id").cast("string"), F.lit(';"'),
+                   F.replace(F.coalesce("text", F.lit("")), F.lit('"'), F.lit('""')), F.lit('"'), end)
+    files = documents.select(F.floor(F.col("doc_id") / 25).alias("file"), kind.alias("kind"), end.alias("end"),
+                             "doc_id", row.alias("row")).groupBy("file").agg(
+        F.sort_array(F.collect_list(F.struct("doc_id", "row", "end"))).alias("rows"))
+    root = scratch_dir(spark, "line-ends")
+    write_text_files(files.select(
+        F.concat(F.col("file").cast("string"), F.lit(".csv")).alias("relative_path"),
+        F.concat(F.lit("documento;texto"), F.col("rows")[0]["end"],
+                 F.array_join(F.transform("rows", lambda r: r["row"]), "")).alias("text")), root)
+    return delimited.read_delimited(spark, written_files(spark, root)).drop("_source_path")
+
+
+QUERIES["csv_line_ends"] = csv_line_ends
+ORACLES["csv_line_ends"] = f"""
+select doc_id::varchar as documento, case when text not in ({_TOKENS}) then text end as texto
+from documents"""
+
+
 def csv_plain(spark, sf):
     """Well-formed files: the split-friendly path of the scan."""
     lines = table(spark, sf, "lineitem").select(
@@ -66,7 +92,7 @@ select l_orderkey::varchar as l_orderkey, l_linenumber::varchar as l_linenumber,
 from lineitem"""
 
 
-def _ragged_scan(spark, sf):
+def _write_ragged(spark, sf, folder):
     """Customers as raw lines: some short, some over-long, some with a surplus
     empty field, which is not an error."""
     line = (
@@ -77,13 +103,17 @@ def _ragged_scan(spark, sf):
               F.concat_ws(";", "c_custkey", "c_name", "c_nationkey", F.lit("")))
         .otherwise(F.concat_ws(";", "c_custkey", "c_name", "c_nationkey"))
     )
-    root = scratch_dir(spark, "ragged")
     customers = table(spark, sf, "customer").select(line.alias("custkey;name;nation"))
     # One column under a header of three: no quoting, no escaping.
-    customers.write.option("header", True).option("sep", "\x01").csv(root)
+    customers.write.option("header", True).option("sep", "\x01").csv(folder)
+
+
+def _ragged_scan(spark, sf):
+    root = scratch_dir(spark, "ragged")
+    _write_ragged(spark, sf, root)
     files = written_files(spark, root)
     dialects = delimited.detect_dialects(spark, files)
-    return list(delimited.header_groups(spark, dialects))
+    return [group.open() for group in delimited.header_groups(spark, dialects)]
 
 
 def csv_bad_lines(spark, sf):
@@ -235,6 +265,46 @@ select 'snap=' || o_orderpriority as snapshot_date, 'SUCCESS' as first_run,
 from orders group by o_orderpriority"""
 
 
+class _FirstWriteFails(BronzeBatch):
+    """A batch whose first write of every group breaks."""
+
+    def _write(self, group, mine, paths):
+        written = super()._write(group, mine, paths)
+        if not getattr(group, "broken_once", False):
+            group.broken_once = True
+            raise OSError("the store went away")
+        return written
+
+
+def bronze_retry(spark, sf):
+    """Customers as ragged files through a batch whose first write of every group
+    fails: all rows are there once, and every over-long row is logged once."""
+    root = scratch_dir(spark, "retry")
+    _write_ragged(spark, sf, f"{root}/raw/2024-01-01")
+    landed = run_landing(spark, f"{root}/raw", f"{root}/lake", f"{root}/metadata", "contracts").where(
+        F.col("file_extension") == ".csv")
+    done = _FirstWriteFails(
+        spark, f"{root}/lake", f"{root}/bronze", f"{root}/control", delay_seconds=0.0).run(landed)
+    outcome = done.groupBy("snapshot_date").agg(
+        F.array_join(F.array_sort(F.collect_set("status")), ",").alias("status"),
+        F.min("retry_count").alias("retries"))
+    rows = spark.read.parquet(f"{root}/bronze").groupBy(
+        F.col("_snapshot_date").alias("snapshot_date")).agg(F.count("*").alias("n_rows"))
+    logged = read_table(spark, f"{root}/control/quality_log", QUALITY_LOG).groupBy("snapshot_date").agg(
+        F.count("*").alias("n_bad"), F.count_distinct("source_path", "line_number").alias("n_places"))
+    return outcome.join(rows, "snapshot_date").join(logged, "snapshot_date", "left").fillna(
+        0, ["n_bad", "n_places"])
+
+
+QUERIES["bronze_retry"] = bronze_retry
+ORACLES["bronze_retry"] = """
+select '2024-01-01' as snapshot_date, 'SUCCESS' as status, 1 as retries,
+  count(*) filter (where c_mktsegment <> 'BUILDING') as n_rows,
+  count(*) filter (where c_mktsegment = 'BUILDING') as n_bad,
+  count(*) filter (where c_mktsegment = 'BUILDING') as n_places
+from customer"""
+
+
 def workbook_scan(spark, sf):
     """All customers as XLSX and all suppliers as XLSB workbooks, read back."""
     root = scratch_dir(spark, "workbooks")
@@ -247,7 +317,7 @@ def workbook_scan(spark, sf):
     write_workbooks(customers, f"{root}/a", "xlsx")
     write_workbooks(suppliers, f"{root}/b", "xlsb")
     _, groups = workbook.header_groups(spark, written_files(spark, root))
-    return reduce(DataFrame.unionByName, [g.table() for g in groups]).drop("_file_uri")
+    return reduce(DataFrame.unionByName, [g.open().table() for g in groups]).drop("_file_uri")
 
 
 QUERIES["workbook_scan"] = workbook_scan

@@ -71,12 +71,27 @@ def write_text_files(df: DataFrame, folder: str) -> None:
     written.agg(F.sum("n")).collect()
 
 
+def _cut_off(book: io.BytesIO, share: float) -> bytes:
+    """The workbook with its sheets ending too early, else whole."""
+    import zipfile
+
+    out = io.BytesIO()
+    with zipfile.ZipFile(book) as source, zipfile.ZipFile(out, "w") as target:
+        for name in source.namelist():
+            data = source.read(name)
+            if name.startswith("xl/worksheets/sheet"):
+                data = data[:int(len(data) * share)]
+            target.writestr(name, data)
+    return out.getvalue()
+
+
 def write_workbooks(
     df: DataFrame, folder: str, kind: str, sheet: str = "Plan1", title_rows: int = 0,
-    rows_per_file: int = ROWS_PER_WORKBOOK,
+    rows_per_file: int = ROWS_PER_WORKBOOK, cut: float | None = None,
 ) -> None:
     """The frame's text columns as workbooks with a header row, in each task's
-    own files; ``title_rows`` puts lines of prose above the header."""
+    own files; ``title_rows`` puts lines of prose above the header. ``cut`` damages
+    every file: its sheet ends after that share of its bytes."""
     columns = df.columns
     write = {"xlsx": write_xlsx, "xlsb": write_xlsb}[kind]
     titles = [[f"Relatório {i}"] for i in range(title_rows)]
@@ -88,7 +103,8 @@ def write_workbooks(
         def flush() -> pa.RecordBatch:
             content = io.BytesIO()
             write(content, {sheet: [*titles, list(columns), *held]})
-            _put(f"{folder}/{uuid.uuid4().hex}.{kind}", content.getvalue())
+            data = content.getvalue() if cut is None else _cut_off(content, cut)
+            _put(f"{folder}/{uuid.uuid4().hex}.{kind}", data)
             count = pa.array([len(held)], pa.int64())
             held.clear()
             return pa.RecordBatch.from_pydict({"n": count})

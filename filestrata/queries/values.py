@@ -12,6 +12,7 @@ from ..functions.headers import layout_name, reader_names, technical_names
 from ..operators.lineage import add_lineage, attach_file_attributes
 from ..sources.files import with_path_attributes
 from ..sources.groups import drop_empty_rows
+from ..storage import materialize
 from .inputs import table
 
 RUN_TIME = datetime(2024, 2, 1, tzinfo=timezone.utc)
@@ -110,7 +111,9 @@ def _lineage(spark, sf):
         F.element_at(F.split("read_path", "/"), 3).alias("snapshot_date"),
         P.source_type(P.file_name(F.col("read_path"))).alias("source_type"),
         F.sha2("read_path", 256).alias("file_hash"))
-    return add_lineage(attach_file_attributes(orders, files, "read_path"), RUN_TIME)
+    files = materialize(files, "files")
+    return add_lineage(
+        attach_file_attributes(orders, files, "read_path", files.count()), RUN_TIME)
 
 
 def lineage(spark, sf):
