@@ -5,12 +5,15 @@ document with a smaller id. Suffixes are needed only to that depth, and only
 where a repeat is possible at all:
 
 1. Every window of ``length`` bytes picks an anchor, its gram of the smallest
-   hash. Equal windows pick equal grams, so a window can repeat only if its
-   anchor's gram is in another document too. Blocks of documents exchange the
-   grams' digests, each once, and learn which are shared.
-2. The windows of shared anchors go, as pieces of text, to the bucket of their
-   gram; a block sends equal pieces once. Grams that very many blocks share
-   would make one bucket hot: their windows go each to a bucket of its own text.
+   hash. Equal windows pick equal grams, so a window can repeat only where its
+   anchor's gram is found again. The windows of an anchor make a piece of text.
+   Blocks of documents send the digests of each gram and piece, once, with the
+   smallest document that has it, to the gram's bucket.
+2. The bucket answers, for each piece of a block, whether a smaller document of
+   another block has the same one, which settles all its windows, and whether its
+   gram stands in other pieces too. Only the first holders of those, the borders
+   of repeated text, send text: to the bucket of their gram, or, where very many
+   blocks share the gram, window by window to buckets of the window's own text.
 3. A bucket sorts its windows' suffixes, takes the common prefix of neighbours,
    and from the previous and the next suffix of a smaller document the longest
    previous factor of each. What reaches ``length`` is a repeat.
@@ -25,6 +28,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ..storage import materialize
 from .common import partitions, read, text_blocks, unpack
 
 LENGTH = 50
@@ -124,25 +128,57 @@ class Anchors:
 
 
 def _short(gram: np.ndarray, buckets: int) -> tuple[np.ndarray, np.ndarray]:
-    """Bucket and digest (39 bits) of grams. Digests that meet by chance cost a
-    comparison later, not a wrong result."""
+    """Bucket and digest (40 bits) of grams. Grams whose digests meet by chance cost
+    a comparison, not a wrong result."""
     scrambled = _mix(gram * _K)
-    return (scrambled % np.uint64(buckets)).astype(np.int64), (scrambled >> np.uint64(25))
+    return (scrambled % np.uint64(buckets)).astype(np.int64), scrambled >> np.uint64(24)
 
 
-def _unique_grams(anchors: Anchors, buckets: int):
-    """Sorted (bucket, digest) once each: bucket, digest, whether in several
-    documents of the block; and the index of each anchor's."""
-    bucket, digest = _short(anchors.gram, buckets)
-    order = np.lexsort((anchors.doc, digest, bucket))
-    b, d, doc = bucket[order], digest[order], anchors.doc[order]
-    fresh = np.ones(len(order), bool)
-    fresh[1:] = (b[1:] != b[:-1]) | (d[1:] != d[:-1])
-    starts = np.flatnonzero(fresh)
-    ends = np.append(starts[1:], len(order))[:len(starts)]
-    index = np.empty(len(order), np.int64)
-    index[order] = np.cumsum(fresh) - 1
-    return b[starts], d[starts], doc[starts] != doc[ends - 1], index
+def _narrow(numbers: np.ndarray, width: int) -> bytes:
+    """The lowest bytes of 64-bit numbers."""
+    return np.ascontiguousarray(numbers.astype("<u8").view(np.uint8).reshape(-1, 8)[:, :width]).tobytes()
+
+
+def _widen(data: bytes, width: int) -> np.ndarray:
+    out = np.zeros((len(data) // width, 8), np.uint8)
+    out[:, :width] = np.frombuffer(data, np.uint8).reshape(-1, width)
+    return out.view("<u8").reshape(-1).astype(np.uint64)
+
+
+class Pieces:
+    """The anchors of a block in the order of bucket, gram, piece, id and place.
+
+    ``entry`` numbers the distinct (gram, piece) in that order; ``heads`` are their
+    first anchors, those of the smallest id. ``piece`` is a digest (48 bits) of all
+    a piece's bytes: of its first and its last window, which cover it.
+    """
+
+    def __init__(self, anchors: Anchors, ids: np.ndarray, buckets: int):
+        first, last = anchors.hash[anchors.first], anchors.hash[anchors.first + anchors.count - 1]
+        piece = _mix(_mix(first) * _K + last + anchors.count.astype(np.uint64)) >> np.uint64(16)
+        bucket, gram = _short(anchors.gram, buckets)
+        id_of = ids[anchors.doc]
+        order = np.lexsort((anchors.first, id_of, piece, gram, bucket))
+        self.bucket, self.gram, self.piece = bucket[order], gram[order], piece[order]
+        self.id, self.row = id_of[order], anchors.doc[order]
+        self.first, self.count = anchors.first[order], anchors.count[order]
+        fresh = np.ones(len(order), bool)
+        fresh[1:] = ((self.bucket[1:] != self.bucket[:-1]) | (self.gram[1:] != self.gram[:-1])
+                     | (self.piece[1:] != self.piece[:-1]))
+        self.heads, self.entry = np.flatnonzero(fresh), np.cumsum(fresh) - 1
+        # A gram in very many pieces, the end of a common passage, is sent once for
+        # all of them: ``sent`` is each entry's place among those sent.
+        bucket, gram = self.bucket[self.heads], self.gram[self.heads]
+        first_of_gram = np.ones(len(self.heads), bool)
+        first_of_gram[1:] = (bucket[1:] != bucket[:-1]) | (gram[1:] != gram[:-1])
+        at = np.flatnonzero(first_of_gram)
+        per_gram = np.diff(np.append(at, len(self.heads)))
+        self.many = np.repeat(per_gram > MANY_PIECES, per_gram)
+        goes = ~self.many | first_of_gram
+        self.sent, self.senders = np.cumsum(goes) - 1, np.flatnonzero(goes)
+        self.digest = np.where(self.many, MANY, self.piece[self.heads])[goes]
+        least = np.minimum.reduceat(self.id[self.heads], at) if len(at) else self.id[:0]
+        self.smallest = np.where(self.many, np.repeat(least, per_gram), self.id[self.heads])[goes]
 
 
 def _leaders(text: np.ndarray, begin: np.ndarray, sizes: np.ndarray, rank: np.ndarray,
@@ -207,6 +243,19 @@ def longest_previous(windows: np.ndarray, rank: np.ndarray) -> np.ndarray:
     return out
 
 
+def _spans(docs: np.ndarray, firsts: np.ndarray, counts: np.ndarray, length: int):
+    """Document, start and end of the bytes that windows cover, in order and merged;
+    ``counts`` windows follow each other from every one of ``firsts``."""
+    order = np.lexsort((firsts, docs))
+    d, s = docs[order], firsts[order]
+    e = s + counts[order] + length - 1
+    new = np.ones(len(d), bool)
+    # Starts rise within a document, and so do ends: anchors follow each other.
+    new[1:] = (d[1:] != d[:-1]) | (s[1:] > np.maximum.accumulate(e)[:-1])
+    at = np.flatnonzero(new)
+    return d[at], s[at], np.maximum.reduceat(e, at) if len(at) else e[:0]
+
+
 def _squeeze(numbers: np.ndarray) -> bytes:
     """Numbers as compressed differences: short where they mostly rise slowly."""
     raw = np.diff(numbers.astype(np.int64), prepend=np.int64(0)).tobytes()
@@ -218,11 +267,18 @@ def _unsqueeze(data: bytes) -> np.ndarray:
     return np.cumsum(np.frombuffer(raw, np.int64))
 
 
-# Pieces a block sends to a bucket, by their place in the block. A copy is a
-# further place of a piece in the block; the number of its document is doubled,
-# plus one if its id is larger than the piece's.
+# A block sends a gram with more pieces than this as one, under this digest.
+MANY_PIECES = 16
+MANY = np.uint64((1 << 48) - 1)
+
+# What a bucket says of a piece: no other of its gram; an earlier document has the
+# same; to be compared with others of its gram, as a whole or window by window.
+ALONE, SETTLED, BY_PIECE, BY_WINDOW = range(4)
+
+# Pieces a block sends to a bucket, by their place in the block; at bucket -1 the
+# spans that are settled without a comparison, as ``firsts`` and bytes ``counts``.
 _PIECE_TYPES = {"bucket": pa.int32(), "block": pa.int64()} | dict.fromkeys(
-    ("text", "firsts", "counts", "ids", "docs", "copy_of", "copy_docs", "copy_firsts"), pa.binary())
+    ("text", "firsts", "counts", "ids", "docs"), pa.binary())
 _PIECES = ", ".join(f"{n} {'int' if n == 'bucket' else 'bigint' if n == 'block' else 'binary'}"
                     for n in _PIECE_TYPES)
 
@@ -252,98 +308,92 @@ def remove_repeats(docs: DataFrame, length: int = LENGTH, gram: int = GRAM,
         ids = ids_of(packed)
         return ids, Anchors(packed["text"].to_pylist(), length, gram)
 
-    def merge_docs(anchors: Anchors, ids: np.ndarray) -> None:
-        """Documents are compared by id: rows that share one count as one."""
-        anchors.doc_row = anchors.doc
-        anchors.doc = np.unique(ids, return_inverse=True)[1][anchors.doc] if len(ids) else anchors.doc
-
     def grams_of(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for block, blob in zip(batch.column(0).to_pylist(), batch.column(1)):
                 ids, anchors = block_of(blob.as_buffer())
-                merge_docs(anchors, ids)
-                bucket, digest, several, _ = _unique_grams(anchors, buckets)
-                packed = (digest << np.uint64(1) | several.astype(np.uint64)).view(np.uint8)
-                packed = np.ascontiguousarray(packed.reshape(-1, 8)[:, :5])
+                pieces = Pieces(anchors, ids, buckets)
+                heads = pieces.heads[pieces.senders]
+                bucket, gram = pieces.bucket[heads], pieces.gram[heads]
+                piece, smallest = pieces.digest, pieces.smallest
                 edges = np.searchsorted(bucket, np.arange(buckets + 1))
                 used = np.flatnonzero(np.diff(edges))
+                parts = [slice(edges[b], edges[b + 1]) for b in used]
                 yield pa.RecordBatch.from_pydict({
                     "bucket": pa.array(used, pa.int32()),
                     "block": pa.array(np.full(len(used), block), pa.int64()),
-                    "grams": pa.array([packed[edges[b]:edges[b + 1]].tobytes() for b in used],
-                                      pa.binary())})
+                    "grams": pa.array([_narrow(gram[p], 5) + _narrow(piece[p], 6) for p in parts],
+                                      pa.binary()),
+                    "ids": pa.array([_squeeze(smallest[p]) for p in parts], pa.binary())})
 
     def share(table: pa.Table) -> pa.Table:
         lists = table["grams"].to_pylist()
-        counts = np.array([len(x) // 5 for x in lists])
-        packed = np.zeros((counts.sum(), 8), np.uint8)
-        packed[:, :5] = np.frombuffer(b"".join(lists), np.uint8).reshape(-1, 5)
-        value = packed.view(np.uint64).reshape(-1)
-        digest, several = value >> np.uint64(1), (value & np.uint64(1)).astype(bool)
-        order = np.argsort(digest, kind="stable")
-        ranked = digest[order]
-        starts = np.flatnonzero(np.concatenate([[True], ranked[1:] != ranked[:-1]]))
-        number = np.diff(np.append(starts, len(ranked)))
-        of_gram = np.empty(len(order), np.int64)
-        of_gram[order] = np.repeat(number, number)
-        said = ((of_gram > 1) | several).astype(np.uint8) + (of_gram > hot_blocks)
-        parts = np.split(said, np.cumsum(counts)[:-1])
+        counts = np.array([len(x) // 11 for x in lists])
+        gram = np.concatenate([_widen(x[:5 * n], 5) for x, n in zip(lists, counts)])
+        piece = np.concatenate([_widen(x[5 * n:], 6) for x, n in zip(lists, counts)])
+        smallest = np.concatenate([_unsqueeze(x) for x in table["ids"].to_pylist()])
+        order = np.lexsort((smallest, piece, gram))
+        g, p, i = gram[order], piece[order], smallest[order]
+        new_gram = np.concatenate([[True], g[1:] != g[:-1]])
+        new_piece = new_gram | np.concatenate([[True], p[1:] != p[:-1]])
+        gram_at, piece_at = np.flatnonzero(new_gram), np.flatnonzero(new_piece)
+        per_gram = np.diff(np.append(gram_at, len(g)))
+        least = np.repeat(i[piece_at], np.diff(np.append(piece_at, len(p))))
+        other_pieces = np.repeat(np.add.reduceat(new_piece, gram_at) > 1, per_gram)
+        other_ids = np.repeat(np.minimum.reduceat(i, gram_at) != np.maximum.reduceat(i, gram_at), per_gram)
+        many = np.repeat(np.logical_or.reduceat(p == MANY, gram_at), per_gram)
+        hot = many | np.repeat(per_gram > hot_blocks, per_gram)
+        # Blocks that hold a piece for the same id all send it: they are one document.
+        settled = (i > least) & (p != MANY)
+        said = np.where(settled, SETTLED, np.where(many | (other_pieces & other_ids), np.where(
+            hot, BY_WINDOW, BY_PIECE), ALONE)).astype(np.uint8)
+        answers = np.empty(len(order), np.uint8)
+        answers[order] = said
+        parts = np.split(answers, np.cumsum(counts)[:-1])
         return pa.table({"block": table["block"], "bucket": table["bucket"],
-                         "shared": pa.array([p.tobytes() for p in parts], pa.binary())})
+                         "said": pa.array([x.tobytes() for x in parts], pa.binary())})
 
     def pieces_of(block_rows: pa.Table, replies: pa.Table) -> pa.Table:
         block = block_rows["block"][0].as_py()
         if not len(replies):
             return pa.table({n: pa.array([], kind) for n, kind in _PIECE_TYPES.items()})
         ids, anchors = block_of(block_rows["docs"][0].as_buffer())
-        merge_docs(anchors, ids)
-        _, _, _, index = _unique_grams(anchors, buckets)
+        pieces = Pieces(anchors, ids, buckets)
         replies = replies.sort_by("bucket")
-        said = np.frombuffer(b"".join(replies["shared"].to_pylist()), np.uint8)[index]
-        whole, single = np.flatnonzero(said == 1), np.flatnonzero(said == 2)
+        said = np.frombuffer(b"".join(replies["said"].to_pylist()), np.uint8)
+        said = said[pieces.sent][pieces.entry]
+        # A later document of the block repeats the piece of an earlier one.
+        settled = (said == SETTLED) | (pieces.id > pieces.id[pieces.heads][pieces.entry])
+        d, s, e = _spans(pieces.row[settled], pieces.first[settled], pieces.count[settled], length)
+        out = {n: [] for n in _PIECE_TYPES}
+        out["bucket"].append(-1)
+        out["block"].append(block)
+        for name, data in (("docs", d), ("firsts", s), ("counts", e - s)):
+            out[name].append(_squeeze(data))
+        for name in ("text", "ids"):
+            out[name].append(b"")
+        whole = np.flatnonzero(~settled & (said == BY_PIECE))
+        single = np.flatnonzero(~settled & (said == BY_WINDOW))
         # A window of a hot gram is a piece of its own.
-        times = anchors.count[single]
-        first = np.concatenate([anchors.first[whole], np.repeat(anchors.first[single], times)
+        times = pieces.count[single]
+        first = np.concatenate([pieces.first[whole], np.repeat(pieces.first[single], times)
                                 + np.arange(times.sum()) - np.repeat(np.cumsum(times) - times, times)])
-        count = np.concatenate([anchors.count[whole], np.ones(times.sum(), np.int64)])
-        row = np.concatenate([anchors.doc_row[whole], np.repeat(anchors.doc_row[single], times)])
-        bucket = np.concatenate([_short(anchors.gram[whole], buckets)[0],
-                                 (_mix(anchors.hash[first[len(whole):]]) % np.uint64(buckets)).astype(np.int64)])
-        # Equal pieces of the block go once, for the smallest id; the hashes of the
-        # first and the last window cover a piece.
-        head, tail = anchors.hash[first], anchors.hash[first + count - 1]
-        order = np.lexsort((first, ids[row], count, tail, head, bucket))
-        first, count, row, bucket, head, tail = (x[order] for x in (first, count, row, bucket, head, tail))
-        fresh = np.ones(len(first), bool)
-        fresh[1:] = ((head[1:] != head[:-1]) | (tail[1:] != tail[:-1]) | (count[1:] != count[:-1])
-                     | (bucket[1:] != bucket[:-1]))
-        leader = np.maximum.accumulate(np.where(fresh, np.arange(len(first)), 0))
-        for at in np.flatnonzero(~fresh):
-            a, b, n = first[leader[at]], first[at], count[at] + length - 1
-            if anchors.raw[a:a + n] != anchors.raw[b:b + n]:
-                fresh[at] = True
-        leader = np.where(fresh, np.arange(len(first)), leader)
+        count = np.concatenate([pieces.count[whole], np.ones(times.sum(), np.int64)])
+        row = np.concatenate([pieces.row[whole], np.repeat(pieces.row[single], times)])
+        bucket = np.concatenate([pieces.bucket[whole], (
+            _mix(anchors.hash[first[len(whole):]]) % np.uint64(buckets)).astype(np.int64)])
+        order = np.lexsort((first, bucket))
+        first, count, row, bucket = (x[order] for x in (first, count, row, bucket))
         edges = np.searchsorted(bucket, np.arange(buckets + 1))
-        later = ids[row] > ids[row[leader]]
-        out = {n: [] for n in _PIECE_TYPES}
         for b in np.flatnonzero(np.diff(edges)):
             part = slice(edges[b], edges[b + 1])
-            own = np.flatnonzero(fresh[part]) + edges[b]
-            own = own[np.argsort(first[own], kind="stable")]
-            copies = np.flatnonzero(~fresh[part]) + edges[b]
-            copies = copies[np.argsort(first[copies], kind="stable")]
-            place = np.empty(edges[b + 1] - edges[b], np.int64)
-            place[own - edges[b]] = np.arange(len(own))
-            text = b"".join(anchors.raw[f:f + c + length - 1] for f, c in zip(first[own], count[own]))
+            text = b"".join(anchors.raw[f:f + c + length - 1] for f, c in zip(first[part], count[part]))
             out["bucket"].append(b)
             out["block"].append(block)
             out["text"].append(pa.compress(text, "zstd", asbytes=True)
                                + len(text).to_bytes(8, "little"))
-            for name, data in (
-                    ("firsts", first[own]), ("counts", count[own]), ("ids", ids[row[own]]),
-                    ("docs", row[own]), ("copy_of", place[leader[copies] - edges[b]]),
-                    ("copy_docs", row[copies] * 2 + later[copies]), ("copy_firsts", first[copies])):
-                out[name].append(_squeeze(data))
+            for name, data in (("firsts", first), ("counts", count), ("ids", ids[row]), ("docs", row)):
+                out[name].append(_squeeze(data[part]))
         return pa.table({n: pa.array(v, _PIECE_TYPES[n]) for n, v in out.items()})
 
     def compare(table: pa.Table) -> pa.Table:
@@ -397,55 +447,27 @@ def remove_repeats(docs: DataFrame, length: int = LENGTH, gram: int = GRAM,
         offset = np.arange(window_edge[-1]) - window_edge[:-1][each]
         repeat = whole[each] | found[window_of[leader[each]] + offset]
         piece = each
-        spans = {n: [] for n in ("block", "docs", "starts", "ends")}
-        blocks_of = table["block"].to_pylist()
         edge = np.concatenate([[0], np.cumsum(per_block)])
-        for k, block in enumerate(blocks_of):
-            a, b = edge[k], edge[k + 1]
-            copy_of = _unsqueeze(table["copy_of"][k].as_py()) + a
-            copy_doc, copy_first = (_unsqueeze(table[n][k].as_py()) for n in ("copy_docs", "copy_firsts"))
-            # All of a copy goes if its document is later than the piece's, else
-            # what goes of the piece.
-            later, copy_doc = copy_doc % 2 == 1, copy_doc // 2
-            docs_out, starts_out = [], []
-            hit = np.flatnonzero(repeat[window_edge[a]:window_edge[b]]) + window_edge[a]
-            docs_out.append(doc[piece[hit]])
-            starts_out.append(first[piece[hit]] + offset[hit])
-            times = count[copy_of]
-            each = np.repeat(np.arange(len(copy_of)), times)
-            step_in = np.arange(times.sum()) - np.repeat(np.cumsum(times) - times, times)
-            leads = repeat[window_edge[copy_of][each] + step_in] if len(each) else np.empty(0, bool)
-            settled = leads | later[each]
-            docs_out.append(copy_doc[each][settled])
-            starts_out.append(copy_first[each][settled] + step_in[settled])
-            docs_out, starts_out = np.concatenate(docs_out), np.concatenate(starts_out)
-            order = np.lexsort((starts_out, docs_out))
-            d, s = docs_out[order].astype(np.int32), starts_out[order].astype(np.int64)
-            if not len(d):
+        out = {n: [] for n in ("block", "docs", "firsts", "counts")}
+        for k, block in enumerate(table["block"].to_pylist()):
+            hit = np.flatnonzero(repeat[window_edge[edge[k]]:window_edge[edge[k + 1]]]) + window_edge[edge[k]]
+            if not len(hit):
                 continue
-            # Windows in a row make one span.
-            new = np.ones(len(d), bool)
-            new[1:] = (d[1:] != d[:-1]) | (s[1:] > s[:-1] + length)
-            at = np.flatnonzero(new)
-            last = np.append(at[1:], len(d)) - 1
-            spans["block"].append(block)
-            spans["docs"].append(d[at])
-            spans["starts"].append(s[at])
-            spans["ends"].append(s[last] + length)
-        return pa.table({"block": pa.array(spans["block"], pa.int64()),
-                         "docs": pa.array(spans["docs"], pa.list_(pa.int32())),
-                         "starts": pa.array(spans["starts"], pa.list_(pa.int64())),
-                         "ends": pa.array(spans["ends"], pa.list_(pa.int64()))})
+            d, s, e = _spans(doc[piece[hit]], first[piece[hit]] + offset[hit],
+                             np.ones(len(hit), np.int64), length)
+            out["block"].append(block)
+            for name, data in (("docs", d), ("firsts", s), ("counts", e - s)):
+                out[name].append(_squeeze(data))
+        return pa.table({n: pa.array(v, _PIECE_TYPES[n]) for n, v in out.items()})
 
     def cut(block_rows: pa.Table, spans: pa.Table) -> pa.Table:
         packed = unpack(block_rows["docs"][0].as_buffer())
         texts = [t.encode() for t in packed["text"].to_pylist()]
-        d, s, e = (np.concatenate([np.empty(0, np.int64), *(c.values.to_numpy() for c in spans[n]
-                                                          )]).astype(np.int64)
-                   for n in ("docs", "starts", "ends"))
+        d, s, n = (np.concatenate([np.empty(0, np.int64), *map(_unsqueeze, spans[name].to_pylist())])
+                   for name in ("docs", "firsts", "counts"))
         order = np.lexsort((s, d))
         begins = np.cumsum([0, *map(len, texts)])
-        d, s, e = d[order], (s - begins[d])[order], (e - begins[d])[order]
+        d, s, e = d[order], (s - begins[d])[order], (s + n - begins[d])[order]
         edges = np.searchsorted(d, np.arange(len(texts) + 1))
         removed, kept = [], []
         for k, text in enumerate(texts):
@@ -463,11 +485,13 @@ def remove_repeats(docs: DataFrame, length: int = LENGTH, gram: int = GRAM,
                          "n_bytes": pa.array(list(map(len, texts)), pa.int64()),
                          "removed": pa.array(removed, kind), "kept": pa.array(kept, pa.binary())})
 
-    said = (blocks.mapInArrow(grams_of, "bucket int, block bigint, grams binary")
-            .groupBy("bucket").applyInArrow(share, "block bigint, bucket int, shared binary"))
-    pieces = blocks.groupBy("block").cogroup(said.groupBy("block")).applyInArrow(pieces_of, _PIECES)
-    spans = pieces.groupBy("bucket").applyInArrow(
-        compare, "block bigint, docs array<int>, starts array<bigint>, ends array<bigint>")
+    said = (blocks.mapInArrow(grams_of, "bucket int, block bigint, grams binary, ids binary")
+            .groupBy("bucket").applyInArrow(share, "block bigint, bucket int, said binary"))
+    pieces = materialize(
+        blocks.groupBy("block").cogroup(said.groupBy("block")).applyInArrow(pieces_of, _PIECES), "pieces")
+    known = pieces.where("bucket < 0").select("block", "docs", "firsts", "counts")
+    spans = known.unionByName(pieces.where("bucket >= 0").groupBy("bucket").applyInArrow(
+        compare, "block bigint, docs binary, firsts binary, counts binary"))
     return blocks.groupBy("block").cogroup(spans.groupBy("block")).applyInArrow(
         cut, "doc_id bigint, n_bytes bigint, removed array<struct<start:bigint,end:bigint>>, kept binary")
 

@@ -42,9 +42,12 @@ def empty(spark):
     return spark.createDataFrame([], SCHEMA)
 
 
-def test_suffix_dedup(odd, empty):
+@pytest.mark.parametrize("many", [1, 16])
+def test_suffix_dedup(odd, empty, monkeypatch, many):
     rows, docs = odd
-    for options in ({}, {"length": 12, "gram": 8, "hot_blocks": 1, "block_bytes": 300}):
+    monkeypatch.setattr(suffix_dedup, "MANY_PIECES", many)
+    for options in ({}, {"length": 12, "gram": 8, "hot_blocks": 1, "block_bytes": 300},
+                    {"length": 12, "gram": 8, "block_bytes": 2000}):
         short = [(i, t) for i, t, _ in rows if t is None or len(t) < 10_000]
         done = suffix_dedup.remove_repeats(docs.where("text is null or length(text) < 10000"), **options)
         got = [(r.doc_id, r.n_bytes, r.n_bytes - len(r.kept), len(r.removed), brute.sha(bytes(r.kept)))
