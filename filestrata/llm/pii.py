@@ -39,6 +39,7 @@ _IP = re.compile(r"(?<![0-9])[0-9]++(?:\.[0-9]++){3}")
 _CARD = re.compile(r"[0-9](?:[\x20-]?[0-9])+")
 _PHONE = re.compile(r"\+[0-9][\x20().0-9-]+[0-9]")
 _TOKEN = re.compile(r"\S+")
+_MARK = re.compile(r"[\d@]")
 _EDGES = "\"'`.,;:!?()[]{}<>*#$&%=|"
 
 
@@ -93,40 +94,61 @@ def _identifier(token: str) -> bool:
 def candidates(text: str, base: list[tuple[int, int, int]]):
     """``(start, end, kind, instance, pattern)`` of seeds (with their kind) and of
     other identifiers (kind -1), each with the words before it."""
-    tokens = [(m.start(), m.end()) for m in _TOKEN.finditer(text)]
-    starts = [s for s, _ in tokens]
-    words = lambda at: " ".join(
-        text[s:e].lower() for s, e in tokens[max(0, at - CONTEXT):at])
+    def words(start: int) -> str | None:
+        """The words before a place, if there are enough."""
+        reach = 100
+        while True:
+            before = text[max(0, start - reach):start].split()
+            # The first word of a part may be cut; take a longer part then.
+            if len(before) > CONTEXT or reach >= start:
+                break
+            reach *= 4
+        return " ".join(before[-CONTEXT:]).lower() if len(before) >= CONTEXT else None
+
+    def token_start(place: int) -> int:
+        while place and not text[place - 1].isspace():
+            place -= 1
+        return place
+
     for start, end, kind in base:
-        at = bisect_right(starts, start) - 1
-        if at >= CONTEXT:
-            yield start, end, kind, text[start:end].lower(), words(at)
+        pattern = words(token_start(start))
+        if pattern is not None:
+            yield start, end, kind, text[start:end].lower(), pattern
     taken = sorted((s, e) for s, e, _ in base)
     known = [s for s, _ in taken]
     reach = []
     for _, e in taken:
         reach.append(max(e, reach[-1] if reach else 0))
-    for at in range(CONTEXT, len(tokens)):
-        start, end = tokens[at]
-        token = text[start:end].strip(_EDGES)
+    # Only tokens with a digit or an address sign can be identifiers.
+    mark = _MARK.search(text)
+    while mark:
+        at = token_start(mark.start())
+        whole = _TOKEN.match(text, at)
+        mark = _MARK.search(text, whole.end())
+        token = whole[0].strip(_EDGES)
         if not _identifier(token):
             continue
-        start += text[start:end].index(token)
+        start = at + whole[0].index(token)
         end = start + len(token)
         before = bisect_right(known, end - 1) - 1
         if before >= 0 and reach[before] > start:
             continue
-        yield start, end, -1, token.lower(), words(at)
+        pattern = words(at)
+        if pattern is not None:
+            yield start, end, -1, token.lower(), pattern
 
 
 def _pattern_counts(texts: DataFrame, patterns: frozenset[str]) -> DataFrame:
     """``pattern`` and ``places``: how often its words are followed by anything."""
+    firsts = {p.split(" ", 1)[0] for p in patterns}
+
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         seen: Counter = Counter()
         for batch in batches:
             for text in batch.column(0).to_pylist():
                 words = text.lower().split()
-                for i in range(len(words) - CONTEXT):
+                # Few words begin a pattern; the last ones have nothing after them.
+                for i in [i for i, w in enumerate(words[:-CONTEXT]) if w in firsts]:
                     pattern = " ".join(words[i:i + CONTEXT])
                     if pattern in patterns:
                         seen[pattern] += 1
