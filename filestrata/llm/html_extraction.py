@@ -185,8 +185,8 @@ def _head(nodes: list) -> str:
 
 
 def align(a: list, b: list, places: list | None = None) -> list:
-    """The wrapper of what both take. ``places`` gets, for each node of the result,
-    the (start, end) of the nodes of ``b`` it stands for, in the order of ``b``."""
+    """The wrapper of what both take. ``places`` gets, for each leaf of ``b`` in
+    order, the place of its leaf in the result."""
     head = 0
     while head < min(len(a), len(b)) and a[head] == b[head]:
         head += 1
@@ -196,16 +196,18 @@ def align(a: list, b: list, places: list | None = None) -> list:
     between: list = []
     middle = _align(a[head:len(a) - tail], b[head:len(b) - tail], between)
     if places is not None:
-        last = len(b) - tail
-        places += [(j, j + 1) for j in range(head)]
-        places += [(head + s, head + e) for s, e in between]
-        places += [(j, j + 1) for j in range(last, len(b))]
+        before = sum(map(_weight, a[:head]))
+        after = before + sum(map(_weight, middle))
+        places += range(before)
+        places += [before + k for k in between]
+        places += range(after, after + sum(map(_weight, a[len(a) - tail:])))
     return a[:head] + middle + a[len(a) - tail:]
 
 
 def _align(a: list, b: list, places: list) -> list:
     if len(a) * len(b) > MOST_PAIRS:
-        places += [(0, 0)] * len(a) + [(j, j + 1) for j in range(len(b))]
+        before = sum(map(_weight, a))
+        places += range(before, before + sum(map(_weight, b)))
         return list(map(_optional, a + b))
     memo: dict[tuple[int, int], tuple] = {}
 
@@ -241,18 +243,24 @@ def _align(a: list, b: list, places: list) -> list:
             if j < len(b) and (best is None or memo[i, j + 1][0] + _weight(b[j]) < best[0]):
                 best = (memo[i, j + 1][0] + _weight(b[j]), (0, 1, "skip"))
             memo[i, j] = best
-    out, i, j = [], 0, 0
+    # What is paired has its leaves in the same order on both sides.
+    out, i, j, leaf = [], 0, 0, 0
     while (i, j) != (len(a), len(b)):
         di, dj, kind = memo[i, j][1]
         if kind == "skip":
             out.append(_optional(a[i] if di else b[j]))
+            if dj:
+                places += range(leaf, leaf + _weight(b[j]))
         else:
             optional = (di and any(n[1] for n in a[i:i + di])) or any(n[1] for n in b[j:j + dj])
             if kind == "groups":
-                out.append([align(a[i][0], b[j][0]), optional])
+                inner: list = []
+                out.append([align(a[i][0], b[j][0], inner), optional])
+                places += [leaf + k for k in inner]
             else:
                 out.append([(b[j] if kind == "right" else a[i])[0], optional])
-        places.append((j, j + dj))
+                places += range(leaf, leaf + _weight(out[-1]))
+        leaf += _weight(out[-1])
         i, j = i + di, j + dj
     return out
 
@@ -292,18 +300,10 @@ def _labels(wrapper_json: str, shape_json: str) -> tuple[bool, ...]:
     page's place in the host's wrapper says."""
     wrapper, page = json.loads(wrapper_json), json.loads(shape_json)
     places: list = []
-    merged = align(wrapper, page, places)
-    tags = _sections(merged)
+    tags = _sections(align(wrapper, page, places))
     known = _has_article(tags, True) or _has_article(tags, False)
-    labels, out, at = _parts(tags, known), [], 0
-    for node, (start, end) in zip(merged, places):
-        width = len(_sections([node]))
-        own = labels[at:at + width]
-        by_tag = dict(zip(_sections([node]), own))
-        for leaf in _sections(page[start:end]):
-            out.append(by_tag.get(leaf, own[0]))
-        at += width
-    return tuple(out)
+    labels = _parts(tags, known)
+    return tuple(labels[at] for at in places)
 
 
 def _leaves(nodes: list) -> Iterator[list]:

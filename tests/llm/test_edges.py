@@ -1,5 +1,6 @@
 """Nulls, empty and very long texts, ties, repeated rows, empty tables, odd columns."""
 
+import json
 import random
 
 import brute
@@ -159,6 +160,28 @@ def test_wrapper_has_optional_and_repeated_groups():
         [[["p", False]], False]]
 
 
+def html_texts(*pages):
+    """The texts of one host's pages, without Spark."""
+    shapes = [html_extraction.shape(html_extraction.fold(html_extraction.tokens(p)[0])) for p in pages]
+    wrapper = json.dumps(html_extraction.merge_all(shapes))
+    return [html_extraction.main_text(p, wrapper, {}) for p in pages]
+
+
+@pytest.mark.parametrize("ad", ['<div class="ad"><p>buy{}</p></div>', "<aside><p>buy{}</p></aside>"])
+def test_tags_of_one_name_inside_and_outside_the_article_keep_their_parts(ad):
+    texts = "one", "two", "three"
+    after = "".join(f"<p>{t}</p>" + ad.format(k) for k, t in enumerate(texts))
+    before = "".join(ad.format(k) + f"<p>{t}</p>" for k, t in enumerate(texts))
+    section = "".join(f"<h2>h{t}</h2><p>{t}</p>{ad.format(k)}<p>more {t}</p>" for k, t in enumerate(texts))
+    page = "<body><p>top</p><article>{}</article><footer><p>end</p></footer></body>"
+    plain = "\n".join(texts)
+    sections = "\n".join(f"h{t}\n{t}\nmore {t}" for t in texts)
+    for bodies, want in (([after], [plain]), ([before], [plain]), ([section], [sections]),
+                         ([after, section, "<p>x</p>"], [plain, sections, "x"]),
+                         ([before, "<p>x</p>" + ad.format(9) + "<p>y</p>", after], [plain, "x\ny", plain])):
+        assert html_texts(*map(page.format, bodies)) == want
+
+
 def test_toxicity(spark, odd, empty):
     rows, docs = odd
     labels = spark.createDataFrame(
