@@ -5,8 +5,10 @@ follow each other fold into repeated groups. The folded streams of a host are
 aligned one after the other into one wrapper, a regular expression without
 unions: where two streams differ, the tags that one of them lacks become
 optional, and a group that occurs once in one and often in the other becomes a
-repeated one. The slots of the wrapper are then sorted into article and other
-parts, and every page is read through its host's wrapper.
+repeated one. A tag carries the part of its own page it stands in, and tags of
+different parts are never aligned, so no slot takes its part from a tag that
+another page leaves open. The slots of the wrapper are then sorted into article
+and other parts, and every page is read through its host's wrapper.
 """
 
 from __future__ import annotations
@@ -14,8 +16,11 @@ from __future__ import annotations
 import html as _html
 import json
 import re
+from collections import defaultdict, deque
 from collections.abc import Iterable, Iterator
+from math import isqrt
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -30,9 +35,9 @@ BROADCAST_BYTES = 16 << 20
 PARTS = 16
 # The longest run of tags that folds into a repeated group.
 LONGEST_GROUP = 12
-# Two streams are aligned step by step up to so many pairs of nodes; what differs
-# in longer ones becomes optional as a whole, the tags of one after the other's.
-MOST_PAIRS = 1_000_000
+# Steps of an alignment are kept for so many pairs of nodes at a time; those of
+# longer streams are worked out again, block by block, from costs kept between.
+KEPT_PAIRS = 4_000_000
 
 # Fixed values of HTML: elements whose content is no markup, markup within a
 # line, elements without an end tag, and end tags that may be left out.
@@ -104,7 +109,34 @@ def tokens(page: str) -> tuple[list[str], list[str]]:
         else:
             tags.append(_tag_name(tag, m[3]))
         texts.append([])
-    return tags, ["".join(t) for t in texts]
+    return _parted(tags), ["".join(t) for t in texts]
+
+
+def _parted(tags: list[str]) -> list[str]:
+    """The tags with the part of the page that the slot after each is in: ``*`` for
+    one within an article, ``!`` for one within something that is none."""
+    out, stack, at_names = [], [(None, False, False)], defaultdict(list)
+    for tag in tags:
+        if tag == "/":
+            out.append(tag)
+            continue
+        own = False
+        name = tag.rstrip("+-")
+        if tag.startswith("/"):
+            if at_names[tag[1:]]:
+                open_at = at_names[tag[1:]][-1]
+                while len(stack) > open_at:
+                    at_names[stack.pop()[0]].pop()
+        elif name not in VOID and name not in ENDS_LEFT_OUT and tag != "^":
+            at_names[name].append(len(stack))
+            _, inside, outside = stack[-1]
+            stack.append((name, inside or tag in INSIDE or tag.endswith("+"),
+                          outside or tag in OUTSIDE or tag.endswith("-")))
+        else:
+            own = tag.endswith("-")
+        _, inside, outside = stack[-1]
+        out.append(tag + "*" * inside + "!" * (outside or own))
+    return out
 
 
 # A node is [tag, places] or [[node, ...], None] for a group that repeats.
@@ -204,65 +236,125 @@ def align(a: list, b: list, places: list | None = None) -> list:
     return a[:head] + middle + a[len(a) - tail:]
 
 
+# Steps of an alignment: what is paired, in the order of preference, or left over.
+_TAG, _GROUPS, _SINGLE, _LEFT, _RIGHT, _ONLY_A, _ONLY_B = range(7)
+_FAR = 1 << 40
+
+
 def _align(a: list, b: list, places: list) -> list:
-    if len(a) * len(b) > MOST_PAIRS:
-        before = sum(map(_weight, a))
-        places += range(before, before + sum(map(_weight, b)))
+    """The alignment that leaves least over, for streams of any length.
+
+    Costs are worked out from the end, a row of ``b`` for each node of ``a``. Steps
+    are kept for a block of rows; memory grows with the longer stream and the root
+    of the other, time with their product.
+    """
+    if not a or not b:
+        places += range(sum(map(_weight, b)))
         return list(map(_optional, a + b))
-    memo: dict[tuple[int, int], tuple] = {}
-
-    def pairs(i: int, j: int) -> Iterator[tuple[int, int, str]]:
-        x, y = a[i], b[j]
-        if isinstance(x[0], str) and x[0] == y[0]:
-            yield 1, 1, "tag"
-        elif not isinstance(x[0], str) and not isinstance(y[0], str) and _head(x[0]) == _head(y[0]):
-            yield 1, 1, "groups"
-        one_x, one_y = _single(x), _single(y)
-        if one_x is not None and one_x == one_y and x[0] != y[0]:
-            yield 1, 1, "left" if not isinstance(x[0], str) else "right"
-        for node, rest, at, kind in ((x, b, j, "left"), (y, a, i, "right")):
-            if not isinstance(node[0], str) and len(node[0]) > 1:
-                run = rest[at:at + len(node[0])]
-                if len(run) == len(node[0]) and all(p[0] == q[0] for p, q in zip(node[0], run)):
-                    yield (1, len(run), kind) if kind == "left" else (len(run), 1, kind)
-
-    # Bottom up: pages can be longer than Python's recursion allows.
-    for i in range(len(a), -1, -1):
-        for j in range(len(b), -1, -1):
-            if i == len(a) and j == len(b):
-                memo[i, j] = (0, None)
-                continue
-            best = None
-            if i < len(a) and j < len(b):
-                for di, dj, kind in pairs(i, j):
-                    cost = memo[i + di, j + dj][0]
-                    if best is None or cost < best[0]:
-                        best = (cost, (di, dj, kind))
-            if i < len(a) and (best is None or memo[i + 1, j][0] + _weight(a[i]) < best[0]):
-                best = (memo[i + 1, j][0] + _weight(a[i]), (1, 0, "skip"))
-            if j < len(b) and (best is None or memo[i, j + 1][0] + _weight(b[j]) < best[0]):
-                best = (memo[i, j + 1][0] + _weight(b[j]), (0, 1, "skip"))
-            memo[i, j] = best
+    ids: dict[str, int] = {}
+
+    def number(content) -> int:
+        return -1 if content is None else ids.setdefault(
+            content if isinstance(content, str) else json.dumps(content), len(ids))
+
+    def is_group(node: list) -> bool:
+        return not isinstance(node[0], str)
+
+    n, m = len(a), len(b)
+    a_ids = [number(x[0]) for x in a]
+    b_ids = np.array([number(y[0]) for y in b])
+    b_heads = np.array([number(_head(y[0]) if is_group(y) else None) for y in b])
+    b_singles = np.array([number(_single(y)) for y in b])
+    # Groups of b that may stand for a run of a, by the run's first node.
+    runs: dict[int, dict[tuple[int, ...], list[int]]] = defaultdict(lambda: defaultdict(list))
+    reach = 1
+    for j, y in enumerate(b):
+        if is_group(y) and len(y[0]) > 1:
+            run = tuple(number(p[0]) for p in y[0])
+            runs[run[0]][run].append(j)
+            reach = max(reach, len(run))
+    rest = np.zeros(m + 1, np.int64)
+    rest[:m] = np.cumsum([_weight(y) for y in b][::-1])[::-1]
+
+    def row(i: int, below: deque) -> tuple[np.ndarray, np.ndarray]:
+        """Costs and steps of a[i] at each place of b; ``below`` has the next rows."""
+        x, cost, steps = a[i], np.full(m + 1, _FAR), np.zeros(m + 1, np.uint8)
+
+        def offer(at: np.ndarray, costs: np.ndarray, step: int) -> None:
+            better = costs < cost[at]
+            cost[at[better]] = costs[better]
+            steps[at[better]] = step
+
+        if is_group(x):
+            same, step = np.flatnonzero(b_heads == number(_head(x[0]))), _GROUPS
+        else:
+            same, step = np.flatnonzero(b_ids == a_ids[i]), _TAG
+        offer(same, below[0][same + 1], step)
+        one = number(_single(x))
+        if one >= 0:
+            single = np.flatnonzero((b_singles == one) & (b_ids != a_ids[i]))
+            offer(single, below[0][single + 1], _SINGLE)
+        if is_group(x) and 1 < len(x[0]) <= m:
+            last = m - len(x[0]) + 1
+            fits = np.ones(last, bool)
+            for k, p in enumerate(x[0]):
+                fits &= b_ids[k:k + last] == number(p[0])
+            at = np.flatnonzero(fits)
+            offer(at, below[0][at + len(x[0])], _LEFT)
+        for run, js in runs.get(a_ids[i], {}).items():
+            if tuple(a_ids[i:i + len(run)]) == run:
+                at = np.array(js)
+                offer(at, below[len(run) - 1][at + 1], _RIGHT)
+        over = below[0] + _weight(x)
+        steps[over < cost] = _ONLY_A
+        cost = np.minimum(cost, over)
+        least = np.minimum.accumulate((cost - rest)[::-1])[::-1] + rest
+        steps[least < cost] = _ONLY_B
+        return least, steps
+
+    block = max(reach, isqrt(n * reach), KEPT_PAIRS // (m + 1))
+    kept, below = {}, deque([rest], maxlen=reach)
+    for start in range((n - 1) // block * block, -1, -block):
+        kept[start] = deque(below, maxlen=reach)
+        if start:
+            for i in range(min(start + block, n) - 1, start - 1, -1):
+                below.appendleft(row(i, below)[0])
     # What is paired has its leaves in the same order on both sides.
     out, i, j, leaf = [], 0, 0, 0
-    while (i, j) != (len(a), len(b)):
-        di, dj, kind = memo[i, j][1]
-        if kind == "skip":
-            out.append(_optional(a[i] if di else b[j]))
-            if dj:
+    for start in range(0, n, block):
+        below, end = kept.pop(start), min(start + block, n)
+        steps: deque = deque()
+        for k in range(end - 1, start - 1, -1):
+            costs, of_row = row(k, below)
+            below.appendleft(costs)
+            steps.appendleft(of_row)
+        while i < end:
+            step, di, dj = steps[i - start][j], 1, 1
+            if step == _ONLY_A:
+                dj = 0
+                out.append(_optional(a[i]))
+            elif step == _ONLY_B:
+                di = 0
+                out.append(_optional(b[j]))
                 places += range(leaf, leaf + _weight(b[j]))
-        else:
-            optional = (di and any(n[1] for n in a[i:i + di])) or any(n[1] for n in b[j:j + dj])
-            if kind == "groups":
-                inner: list = []
-                out.append([align(a[i][0], b[j][0], inner), optional])
-                places += [leaf + k for k in inner]
             else:
-                out.append([(b[j] if kind == "right" else a[i])[0], optional])
-                places += range(leaf, leaf + _weight(out[-1]))
-        leaf += _weight(out[-1])
-        i, j = i + di, j + dj
-    return out
+                if step == _LEFT:
+                    dj = len(a[i][0])
+                elif step == _RIGHT:
+                    di = len(b[j][0])
+                optional = any(x[1] for x in a[i:i + di]) or any(y[1] for y in b[j:j + dj])
+                if step == _GROUPS:
+                    inner: list = []
+                    out.append([align(a[i][0], b[j][0], inner), optional])
+                    places += [leaf + k for k in inner]
+                else:
+                    right = step == _RIGHT or (step == _SINGLE and not is_group(a[i]))
+                    out.append([(b[j] if right else a[i])[0], optional])
+                    places += range(leaf, leaf + _weight(out[-1]))
+            leaf += _weight(out[-1])
+            i, j = i + di, j + dj
+    places += range(leaf, leaf + int(rest[j]))
+    return out + list(map(_optional, b[j:]))
 
 
 def _sections(wrapper: list) -> list[str]:
@@ -270,29 +362,9 @@ def _sections(wrapper: list) -> list[str]:
     return [t for n in wrapper for t in ([n[0]] if isinstance(n[0], str) else _sections(n[0]))]
 
 
-def _parts(tags: list[str], known: bool) -> list[bool]:
-    """For each tag of a stream whether the slot after it is article text."""
-    out, stack = [], []
-    for tag in tags:
-        if tag.startswith("/"):
-            name = tag[1:]
-            open_at = next((k for k in range(len(stack) - 1, -1, -1)
-                            if stack[k].rstrip("+-") == name), None)
-            if open_at is not None:
-                del stack[open_at:]
-        elif tag.rstrip("+-") not in VOID and tag.rstrip("+-") not in ENDS_LEFT_OUT and tag != "^":
-            stack.append(tag)
-        elif tag.endswith("-"):
-            out.append(False)
-            continue
-        outside = any(t in OUTSIDE or t.endswith("-") for t in stack)
-        inside = any(t in INSIDE or t.endswith("+") for t in stack)
-        out.append(not outside and (inside or not known))
-    return out
-
-
-def _has_article(tags: list[str], strong: bool) -> bool:
-    return any(t in INSIDE or (not strong and t.endswith("+")) for t in tags)
+def _has_article(tags: list[str]) -> bool:
+    names = [t.rstrip("*!") for t in tags]
+    return any(t in INSIDE or t.endswith("+") for t in names)
 
 
 def _labels(wrapper_json: str, shape_json: str) -> tuple[bool, ...]:
@@ -301,8 +373,8 @@ def _labels(wrapper_json: str, shape_json: str) -> tuple[bool, ...]:
     wrapper, page = json.loads(wrapper_json), json.loads(shape_json)
     places: list = []
     tags = _sections(align(wrapper, page, places))
-    known = _has_article(tags, True) or _has_article(tags, False)
-    labels = _parts(tags, known)
+    known = _has_article(tags)
+    labels = [not t.endswith("!") and (t.endswith("*") or not known) for t in tags]
     return tuple(labels[at] for at in places)
 
 

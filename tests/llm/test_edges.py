@@ -182,6 +182,45 @@ def test_tags_of_one_name_inside_and_outside_the_article_keep_their_parts(ad):
         assert html_texts(*map(page.format, bodies)) == want
 
 
+def irregular(rng, n):
+    """The inside of an article of ``n`` blocks that hardly folds, and its text."""
+    blocks = [rng.choice("h2 h3 h4 pre blockquote section figure aside ul".split()) for _ in range(n)]
+    body = "".join(f"<{t}><p>{t}{k}</p></{t}>" for k, t in enumerate(blocks))
+    return body, "\n".join(f"{t}{k}" for k, t in enumerate(blocks) if t not in ("figure", "aside"))
+
+
+def test_pages_of_any_length_keep_their_article():
+    rng = random.Random(6)
+    bodies = [irregular(rng, n) for n in (3, 450, 500, 5)]
+    ends = "<ul><li>a<li>b</ul>", "<p>c</p><h2>d</h2>"
+    pages = [f"<body><nav><p>top</p></nav><article>{b}</article><footer>{ends[k % 2]}</footer></body>"
+             for k, (b, _) in enumerate(bodies)]
+    assert html_texts(*pages) == [text for _, text in bodies]
+
+
+@pytest.mark.parametrize("kept", [1, 40, 4_000_000])
+def test_alignment_is_the_same_in_blocks(monkeypatch, kept):
+    """Blocks change nothing, and the leaves of a page find their place."""
+    rng = random.Random(8)
+    page = lambda: "".join(rng.choice(["<ul><li>a<li>b</ul>", "<h2>x</h2>", "<p>x", "<div><p>y</div>" * 2, "<dl><dt>t</dl>"])
+                           for _ in range(rng.randint(0, 25)))
+    leaves = html_extraction._sections
+    for _ in range(60):
+        a, b = (html_extraction.shape(html_extraction.fold(html_extraction.tokens(page())[0])) for _ in "ab")
+        monkeypatch.setattr(html_extraction, "KEPT_PAIRS", 4_000_000)
+        want = html_extraction.align(a, b)
+        monkeypatch.setattr(html_extraction, "KEPT_PAIRS", kept)
+        places = []
+        got = html_extraction.align(a, b, places)
+        assert got == want
+        assert [leaves(got)[k] for k in places] == leaves(b) and places == sorted(places)
+
+
+def test_an_advert_that_another_page_lacks_does_not_take_in_its_neighbour():
+    pages = ['<div class="ad">buy</div><div>one</div>', '<div class="ad"><p>sell</p></div>', "<div><p>two</p></div>"]
+    assert html_texts(*pages) == ["one", "", "two"]
+
+
 def test_toxicity(spark, odd, empty):
     rows, docs = odd
     labels = spark.createDataFrame(
