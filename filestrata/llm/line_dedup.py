@@ -1,16 +1,20 @@
 """Repeated lines and sentences: every later copy goes, the earliest stays.
 
-A unit is a line, or a sentence within a line. Units are normalised (lower case,
-one space between words) and hashed; the digest of a unit that occurs again is
-looked up once, and the earliest occurrence by document and offset is kept.
+A unit is a line, or a sentence within a line, of any length. Units are normalised
+(lower case, one space between words) and hashed; the digest of a unit that occurs
+again is looked up once, and the earliest occurrence by document and offset is kept.
+Short lines are told apart by their turn within a document: a list or a refrain
+repeats them, so the n-th copy goes if an earlier document has n of them.
 """
 
 from __future__ import annotations
 
 import re
+from collections import Counter
 from collections.abc import Iterable, Iterator
 from hashlib import md5
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -18,30 +22,36 @@ from pyspark.sql import functions as F
 from ..storage import materialize
 from .common import read
 
-# Shorter units repeat by chance or by grammar and say nothing about copying.
+# Lines of fewer words are short. A letter of a script that is written without
+# spaces is a word of its own.
 LINE_WORDS = 5
-SENTENCE_WORDS = 8
 
 _LINE = re.compile(r"[^\n]+")
-_SENTENCE = re.compile(r"[^\s][^\n]*?(?:[.!?](?=\s)|(?=\n)|$)")
+_SENTENCE = re.compile(r"[^\s][^\n]*?(?:[.!?](?=\s)|[\u3002\uff01\uff0e\uff1f\uff61]|(?=\n)|$)")
+_UNSPACED = re.compile(r"[\u0e00-\u0eff\u1000-\u109f\u1780-\u17ff\u3040-\u30ff\u3400-\u9fff"
+                       r"\uf900-\ufaff\uff66-\uff9f\U00020000-\U0003ffff]")
 
 
-def units(text: str, line_words: int = LINE_WORDS, sentence_words: int = SENTENCE_WORDS):
-    """``(start, end, digest)`` of each unit long enough; lines come before their
-    sentences, offsets are code points of the text as given."""
+def units(text: str, line_words: int = LINE_WORDS):
+    """``(start, end, digest)`` of each unit; lines come before their sentences,
+    offsets are code points of the text as given."""
+    short: Counter = Counter()
     for line in _LINE.finditer(text):
         words = line[0].lower().split()
-        if len(words) < line_words:
-            continue
-        yield line.start(), line.end(), md5("\n".join(words).encode()).digest()
-        if len(words) < sentence_words:
+        if not words:
             continue
+        key = "\n".join(words)
+        if len(words) < line_words and len(words) + len(_UNSPACED.findall(key)) < line_words:
+            short[key] += 1
+            if short[key] > 1:
+                # No word begins with a line end.
+                key = f"{key}\n\n{short[key]}"
+        yield line.start(), line.end(), md5(key.encode()).digest()
         for sentence in _SENTENCE.finditer(text, line.start(), line.end()):
-            if sentence.start() == line.start() and sentence.end() == line.end():
-                continue
-            words = sentence[0].lower().split()
-            if len(words) >= sentence_words:
-                yield sentence.start(), sentence.end(), md5("\n".join(words).encode()).digest()
+            # A line's only sentence is the line.
+            if sentence[0].strip() != line[0].strip():
+                key = "\n".join(sentence[0].lower().split())
+                yield sentence.start(), sentence.end(), md5(key.encode()).digest()
 
 
 def _merged(spans: list[tuple[int, int]]) -> list[tuple[int, int]]:
@@ -54,27 +64,36 @@ def _merged(spans: list[tuple[int, int]]) -> list[tuple[int, int]]:
     return out
 
 
-def remove_repeats(docs: DataFrame, line_words: int = LINE_WORDS,
-                   sentence_words: int = SENTENCE_WORDS) -> DataFrame:
+def remove_repeats(docs: DataFrame, line_words: int = LINE_WORDS) -> DataFrame:
     """Per row of ``docs``: ``doc_id``, ``text`` (as given), ``kept_text`` and
     ``removed`` (array of start, end in the given text, merged).
 
     The earliest occurrence has the smallest ``doc_id`` (null first), then the
-    smallest offset; a repeat within one document goes too. Line ends stay. Null
+    smallest offset; a repeat within one document goes too, but for short lines
+    (see above). Line ends stay. Null
     and empty texts give an empty text and no spans; rows with the same
     ``doc_id`` and text are one document, given out as often as they came; an
     empty table gives no rows; other columns are ignored.
     """
+    def halves(digests: list[bytes]) -> np.ndarray:
+        return np.frombuffer(b"".join(digests), np.int64).reshape(-1, 2)
+
+    def count(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            half = halves([d for text in batch.column(0).to_pylist() for *_, d in units(text, line_words)])
+            seen, n = np.unique(half[:, 0], return_counts=True)
+            yield pa.RecordBatch.from_arrays([pa.array(seen), pa.array(n)], names=["half", "n"])
+
     def scan(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             out = [(doc, key, s, e, d)
                    for doc, key, text in zip(*(c.to_pylist() for c in batch.columns))
-                   for s, e, d in units(text, line_words, sentence_words)]
-            columns = list(zip(*out)) or [[]] * 5
-            types = (pa.int64(), pa.binary(), pa.int32(), pa.int32(), pa.binary())
+                   for s, e, d in units(text, line_words)]
+            *columns, digests = list(zip(*out)) or [[]] * 5
+            types = (pa.int64(), pa.int64(), pa.int32(), pa.int32())
             yield pa.RecordBatch.from_arrays(
-                [pa.array(c, t) for c, t in zip(columns, types)],
-                names=["doc_id", "key", "start", "end", "digest"])
+                [*(pa.array(c, t) for c, t in zip(columns, types)), *map(pa.array, halves(digests).T.copy())],
+                names=["doc_id", "key", "start", "end", "half", "other"])
 
     def cut(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -91,14 +110,19 @@ def remove_repeats(docs: DataFrame, line_words: int = LINE_WORDS,
 
     text = F.coalesce(F.col("text").cast("string"), F.lit(""))
     texts = docs.select(F.col("doc_id").cast("bigint"), text.alias("text")).withColumn(
-        "key", F.unhex(F.md5("text")))
+        "key", F.xxhash64("text"))
+    # Half a digest tells what cannot be a repeat: all units are counted by it, and
+    # only those it leaves are written. Scanning twice costs less disk than writing all.
+    again = texts.select("text").mapInArrow(count, "half bigint, n bigint").groupBy("half").agg(
+        F.sum("n").alias("n")).where("n > 1").select("half")
     found = materialize(texts.select("doc_id", "key", "text").mapInArrow(
-        scan, "doc_id bigint, key binary, start int, end int, digest binary"), "units")
-    place = F.struct("doc_id", "key", "start")
-    # A line and its only sentence may share a digest: places, not rows, make a repeat.
-    firsts = found.groupBy("digest").agg(F.min(place).alias("first"), F.max(place).alias("last")).where(
-        F.col("first") != F.col("last")).select("digest", "first")
-    later = found.join(firsts, "digest").where(F.struct("doc_id", "key", "start") != F.col("first"))
+        scan, "doc_id bigint, key bigint, start int, end int, half bigint, other bigint")
+        .join(again, "half"), "units")
+    digest, place = ["half", "other"], F.struct("doc_id", "key", "start")
+    # Rows may repeat a document: places, not rows, make a repeat.
+    firsts = found.groupBy(*digest).agg(F.min(place).alias("first"), F.max(place).alias("last")).where(
+        F.col("first") != F.col("last")).select(*digest, "first")
+    later = found.join(firsts, digest).where(place != F.col("first"))
     spans = later.groupBy("doc_id", "key").agg(
         F.collect_set(F.struct("start", "end")).alias("spans")).select(
         F.col("doc_id").alias("s_doc"), F.col("key").alias("s_key"), "spans")

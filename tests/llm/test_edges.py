@@ -346,6 +346,43 @@ def test_lines_and_sentences(spark):
     assert got[3] == "Then: other words.  End of it."
 
 
+def plain_units(text):
+    """Lines and sentences by a rule of its own: characters, not expressions."""
+    out, at = [], 0
+    for line in text.split("\n"):
+        starts = [0]
+        for k, c in enumerate(line):
+            if c in "\u3002\uff01" or (c in ".!?" and line[k + 1:k + 2].isspace()):
+                starts.append(k + 1)
+        parts = [(s, e) for s, e in zip(starts, [*starts[1:], len(line)]) if line[s:e].strip()]
+        for s, e in [(0, len(line)), *(parts if len(parts) > 1 else [])]:
+            s += (len(line[s:e]) - len(line[s:e].lstrip())) * ((s, e) in parts and len(parts) > 1)
+            if line[s:e].strip():
+                out.append((at + s, at + e, " ".join(line[s:e].lower().split())))
+        at += len(line) + 1
+    return out
+
+
+def test_units_of_any_length_go(spark):
+    passage = " ".join(f"So it goes {k}. It ended." for k in ("one", "two", "three", "four", "five")) + " We left."
+    thai, chinese = "\u0e01\u0e32\u0e23\u0e17\u0e14\u0e2a\u0e2d\u0e1a", "\u4e2d\u6587\u53e5\u5b50\u5f88\u957f"
+    texts = [f"Read more\nFirst. {passage} Here.\n{chinese}\n{thai}\nOwn.",
+             f"read  more\n\n \nSecond! {passage} There.\n{thai}",
+             f"Other\n{chinese}\n{chinese}\u3002\u65b0\u7684\u3002{chinese}\u3002\nRead more", "Yes.", "No. Yes.\nYes."]
+    rows = [(k, t, "a") for k, t in enumerate(texts)]
+    want = dict(brute.repeated_units([(k, t) for k, t, _ in rows], plain_units))
+    got = {r.doc_id: r.kept_text for r in line_dedup.remove_repeats(table(spark, rows)).collect()}
+    assert {k: brute.sha(t) for k, t in got.items()} == want
+    assert "So it goes" not in got[1] and "more" not in got[1] + got[2]
+    assert thai not in got[1] and got[2].count(chinese) == 1
+
+
+def test_short_lines_are_counted_off_against_earlier_documents(spark):
+    rows = [(1, "la la\nown\nla la", "a"), (2, "la la\nLA LA\nnew\nla la", "a"), (3, "la la", "a")]
+    got = {r.doc_id: r.kept_text for r in line_dedup.remove_repeats(table(spark, rows)).collect()}
+    assert got == {1: "la la\nown\nla la", 2: "\n\nnew\nla la", 3: ""}
+
+
 def test_mixing(odd, empty):
     rows, docs = odd
     got = mixing.mix(docs).collect()
