@@ -13,6 +13,7 @@ import re
 from bisect import bisect_right
 from collections import Counter
 from collections.abc import Iterable, Iterator
+from zlib import crc32
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -29,8 +30,10 @@ CONTEXT = 2
 LEAST_SEEDS = 5
 CONFIDENCE = 0.8
 ROUNDS = 3
-# The model keeps the patterns with most seeds: their number is bounded.
-PATTERNS = 10_000
+# Word pairs are looked up in a table of so many bits before they leave a task, and
+# leave it in parts of so many.
+BITS = 1 << 20
+PAIRS_AT_ONCE = 200_000
 
 _DOMAIN = re.compile(r"@[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)+")
 _LOCAL = frozenset("ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789._%+-")
@@ -138,25 +141,38 @@ def candidates(text: str, base: list[tuple[int, int, int]]):
             yield start, end, -1, token.lower(), pattern
 
 
-def _pattern_counts(texts: DataFrame, patterns: frozenset[str]) -> DataFrame:
-    """``pattern`` and ``places``: how often its words are followed by anything."""
-    firsts = {p.split(" ", 1)[0] for p in patterns}
+def _pattern_counts(texts: DataFrame, patterns: DataFrame) -> DataFrame:
+    """``pattern`` and ``places``: how often its words are followed by anything.
+
+    Words whose bit no pattern has are dropped in the task; the others are counted
+    and joined with the patterns, whose number has no bound.
+    """
+    bits = bytearray(BITS)
+    for bit in patterns.agg(F.collect_set(F.pmod(F.crc32("pattern"), F.lit(BITS)).cast("int"))).first()[0]:
+        bits[bit] = 1
+    table = bytes(bits)
+
+    def packed(seen: Counter) -> pa.RecordBatch:
+        return pa.RecordBatch.from_pydict({"pattern": pa.array(list(seen), pa.string()),
+                                           "places": pa.array(list(seen.values()), pa.int64())})
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         seen: Counter = Counter()
         for batch in batches:
             for text in batch.column(0).to_pylist():
                 words = text.lower().split()
-                # Few words begin a pattern; the last ones have nothing after them.
-                for i in [i for i, w in enumerate(words[:-CONTEXT]) if w in firsts]:
-                    pattern = " ".join(words[i:i + CONTEXT])
-                    if pattern in patterns:
+                # The last words have nothing after them.
+                for pattern in map(" ".join, zip(*(words[k:k - CONTEXT] for k in range(CONTEXT)))):
+                    if table[crc32(pattern.encode()) % BITS]:
                         seen[pattern] += 1
-        yield pa.RecordBatch.from_pydict({"pattern": pa.array(list(seen), pa.string()),
-                                          "places": pa.array(list(seen.values()), pa.int64())})
+                if len(seen) >= PAIRS_AT_ONCE:
+                    yield packed(seen)
+                    seen.clear()
+        yield packed(seen)
 
-    return texts.select("text").mapInArrow(run, "pattern string, places bigint").groupBy(
+    counted = texts.select("text").mapInArrow(run, "pattern string, places bigint").groupBy(
         "pattern").agg(F.sum("places").alias("places"))
+    return counted.join(patterns, "pattern", "left_semi")
 
 
 def _scored(edges: DataFrame, totals: DataFrame, rounds: int) -> DataFrame:
@@ -198,7 +214,6 @@ def find(docs: DataFrame, rounds: int = ROUNDS, least_seeds: int = LEAST_SEEDS,
     repeated rows give repeated rows, an empty table none; other columns are
     ignored.
     """
-    spark = docs.sparkSession
     texts = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"),
                         F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"))
     span = pa.struct([("start", pa.int32()), ("end", pa.int32()), ("kind", pa.int32())])
@@ -223,13 +238,12 @@ def find(docs: DataFrame, rounds: int = ROUNDS, least_seeds: int = LEAST_SEEDS,
         .withColumn("row", F.monotonically_increasing_id()), "scanned")
     held = scanned.select("row", F.explode("candidates").alias("c")).select("row", "c.*")
     edges = materialize(held.groupBy("pattern", "instance", "kind").agg(F.count(F.lit(1)).alias("n")), "edges")
-    seeded = (edges.where("kind >= 0").groupBy("pattern").agg(F.countDistinct("instance").alias("seeds"))
-              .where(F.col("seeds") >= least_seeds).orderBy(F.col("seeds").desc(), "pattern").limit(PATTERNS))
-    patterns = frozenset(r.pattern for r in seeded.collect())
-    if patterns:
-        kept = spark.createDataFrame([(p,) for p in sorted(patterns)], "pattern string")
-        totals = materialize(_pattern_counts(texts, patterns), "pattern-places")
-        new = _scored(edges.join(F.broadcast(kept), "pattern", "left_semi"), totals, rounds)
+    kept = materialize(
+        edges.where("kind >= 0").groupBy("pattern").agg(F.countDistinct("instance").alias("seeds"))
+        .where(F.col("seeds") >= least_seeds).select("pattern"), "kept-patterns")
+    if not kept.isEmpty():
+        totals = materialize(_pattern_counts(texts, kept), "pattern-places")
+        new = _scored(edges.join(kept, "pattern", "left_semi"), totals, rounds)
         placed = (held.where("kind = -1").drop("kind").join(new, ["pattern", "instance"])
                   .groupBy("row").agg(F.collect_set(F.struct(
                       "start", "end", F.col("k").cast("int").alias("kind"))).alias("found")))

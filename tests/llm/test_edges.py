@@ -303,6 +303,16 @@ def test_pii_finds_unseen_identifiers_in_seed_contexts(spark):
     assert got[101].found == [] and got[0].found == []
 
 
+def test_pii_scores_every_pattern(spark, monkeypatch):
+    monkeypatch.setattr(pii, "PATTERNS", 1, raising=False)
+    monkeypatch.setattr(pii, "PAIRS_AT_ONCE", 2, raising=False)
+    rows = [(i, f"sent it to +1 202 555 {1000 + i} or went to it anyway, it to me", "a") for i in range(30)]
+    rows += [(100 + i, f"please phone Karl +1 303 555 {2000 + i} today", "a") for i in range(8)]
+    rows += [(200, "please phone karl 555-0123 today", "a")]
+    got = {r.doc_id: r for r in pii.find(table(spark, rows)).collect()}
+    assert [(s.start, s.end, s.kind) for s in got[200].found] == [(18, 26, 3)]
+
+
 def test_vectors(spark):
     rng = np.random.default_rng(7)
     rows = [(i, [float(x) for x in rng.normal(size=6)], 1) for i in range(150)]
