@@ -25,7 +25,7 @@ from .common import read
 KINDS = ("email", "ip", "card", "phone")
 # A pattern is the words before an entity, this many.
 CONTEXT = 2
-# It must hold so many different seeds, and known entities in this share of its
+# It must hold so many different known entities, and they must be in this share of its
 # places; an instance must reach the same score.
 LEAST_SEEDS = 5
 CONFIDENCE = 0.8
@@ -175,13 +175,17 @@ def _pattern_counts(texts: DataFrame, patterns: DataFrame) -> DataFrame:
     return counted.join(patterns, "pattern", "left_semi")
 
 
-def _scored(edges: DataFrame, totals: DataFrame, rounds: int) -> DataFrame:
-    """``pattern``, ``kind``, ``instance`` of the unseen instances that confident
-    patterns of one kind reach. ``edges`` has pattern, instance, kind (-1: unseen), n."""
+def _scored(edges: DataFrame, totals: DataFrame, rounds: int, least: int,
+            confidence: float) -> DataFrame | None:
+    """``pattern``, ``k``, ``instance`` of the unseen instances that confident patterns
+    of kind ``k`` reach, null if none. ``edges`` has pattern, instance, kind (-1: unseen), n.
+
+    What a round finds counts for the patterns of the next one as seeds do, by its score.
+    """
     graph = materialize(edges.join(totals, "pattern"), "graph")
-    trust = graph.select("instance", F.when(F.col("kind") >= 0, 1.0).otherwise(0.0).alias("score"), "kind").where(
-        "kind >= 0").distinct()
-    found = None
+    seeds = materialize(graph.where("kind >= 0").select(
+        "instance", F.lit(1.0).alias("score"), "kind").distinct(), "seeds")
+    trust, confident, found = seeds, None, None
     for _ in range(rounds):
         scores = (graph.join(trust.select("instance", "score", F.col("kind").alias("k")), "instance")
                   .groupBy("pattern", "k").agg(F.sum(F.col("n") * F.col("score")).alias("held"),
@@ -189,18 +193,22 @@ def _scored(edges: DataFrame, totals: DataFrame, rounds: int) -> DataFrame:
                                                F.countDistinct("instance").alias("instances")))
         confident = materialize(
             scores.withColumn("confidence", F.col("held") / F.greatest("held", "places"))
-            .where((F.col("confidence") >= CONFIDENCE) & (F.col("instances") >= LEAST_SEEDS))
+            .where((F.col("confidence") >= confidence) & (F.col("instances") >= least))
             .select("pattern", "k", "confidence"), "patterns")
+        if confident.isEmpty():
+            return None
         reached = (graph.where("kind = -1").join(confident, "pattern")
                    .groupBy("instance", "k").agg(
                        (1 - F.exp(F.sum(F.log(F.greatest(1 - F.col("confidence"), F.lit(1e-6))))))
-                       .alias("score")).where(F.col("score") >= CONFIDENCE))
+                       .alias("score")).where(F.col("score") >= confidence))
         best = reached.groupBy("instance").agg(F.max(F.struct("score", "k")).alias("best")).select(
             "instance", F.col("best.score").alias("score"), F.col("best.k").alias("kind"))
         found = materialize(best, "instances")
-        trust = trust.unionByName(found.select("instance", "score", "kind"))
-        trust = trust.groupBy("instance", "kind").agg(F.max("score").alias("score"))
-    return confident.select("pattern", "k").join(found.select("instance", F.col("kind").alias("k")), "k")
+        trust = materialize(trust.unionByName(found.select("instance", "score", "kind"))
+                            .groupBy("instance", "kind").agg(F.max("score").alias("score")), "trust")
+    return (graph.where("kind = -1").select("pattern", "instance")
+            .join(confident.select("pattern", "k"), "pattern")
+            .join(found.select("instance", F.col("kind").alias("k")), ["instance", "k"]))
 
 
 def find(docs: DataFrame, rounds: int = ROUNDS, least_seeds: int = LEAST_SEEDS,
@@ -238,12 +246,15 @@ def find(docs: DataFrame, rounds: int = ROUNDS, least_seeds: int = LEAST_SEEDS,
         .withColumn("row", F.monotonically_increasing_id()), "scanned")
     held = scanned.select("row", F.explode("candidates").alias("c")).select("row", "c.*")
     edges = materialize(held.groupBy("pattern", "instance", "kind").agg(F.count(F.lit(1)).alias("n")), "edges")
+    # A pattern with fewer instances, seen or not, can hold enough in no round.
     kept = materialize(
-        edges.where("kind >= 0").groupBy("pattern").agg(F.countDistinct("instance").alias("seeds"))
-        .where(F.col("seeds") >= least_seeds).select("pattern"), "kept-patterns")
-    if not kept.isEmpty():
+        edges.groupBy("pattern").agg(F.countDistinct("instance").alias("instances"))
+        .where(F.col("instances") >= least_seeds).select("pattern"), "kept-patterns")
+    new = None
+    if rounds and not kept.isEmpty():
         totals = materialize(_pattern_counts(texts, kept), "pattern-places")
-        new = _scored(edges.join(kept, "pattern", "left_semi"), totals, rounds)
+        new = _scored(edges.join(kept, "pattern", "left_semi"), totals, rounds, least_seeds, confidence)
+    if new is not None:
         placed = (held.where("kind = -1").drop("kind").join(new, ["pattern", "instance"])
                   .groupBy("row").agg(F.collect_set(F.struct(
                       "start", "end", F.col("k").cast("int").alias("kind"))).alias("found")))

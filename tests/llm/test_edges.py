@@ -313,6 +313,19 @@ def test_pii_scores_every_pattern(spark, monkeypatch):
     assert [(s.start, s.end, s.kind) for s in got[200].found] == [(18, 26, 3)]
 
 
+def test_pii_found_identifiers_make_new_patterns_confident(spark):
+    rows = [(i, f"then call me +1 202 555 {1000 + i} soon", "a") for i in range(120)]
+    rows += [(200 + i, f"then call me 555-{3000 + i} soon", "a") for i in range(20)]
+    rows += [(300 + i, f"just dial now 555-{3000 + i} soon", "a") for i in range(20)]
+    rows += [(400 + i, f"just dial now +1 303 555 {1000 + i} soon", "a") for i in range(3)]
+    rows += [(500, "just dial now 555-9876 soon", "a")]
+    docs = table(spark, rows)
+    got = {r.doc_id: r for r in pii.find(docs).collect()}
+    assert [(s.start, s.end, s.kind) for s in got[500].found] == [(14, 22, 3)]
+    assert all([(s.start, s.end, s.kind) for s in got[i].found] == [(13, 21, 3)] for i in range(200, 220))
+    assert all(not r.found for r in pii.find(docs, confidence=0.99).collect())
+
+
 def test_vectors(spark):
     rng = np.random.default_rng(7)
     rows = [(i, [float(x) for x in rng.normal(size=6)], 1) for i in range(150)]
