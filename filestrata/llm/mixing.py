@@ -62,7 +62,7 @@ def source_targets(sizes: DataFrame, weights: Sequence[int] = WEIGHTS,
 
 
 def mix(docs: DataFrame, weights: Sequence[int] = WEIGHTS, max_epochs: int = MAX_EPOCHS,
-        seed: str = SEED) -> DataFrame:
+        seed: str = SEED, row: str | None = None) -> DataFrame:
     """How often the mix takes each document.
 
     Returns per row of ``docs``: ``doc_id``, ``source``, ``size`` (words),
@@ -75,11 +75,15 @@ def mix(docs: DataFrame, weights: Sequence[int] = WEIGHTS, max_epochs: int = MAX
 
     Null texts and sources of size 0 have target 0 unless other documents fill
     the source; a null source is a source; an empty table gives no rows;
-    repeated rows are mixed each for itself; other columns are ignored.
+    repeated rows are mixed each for itself; other columns are ignored. ``row``
+    names a column that tells rows apart and is returned as well; rows of one id
+    and size are then in the order of their text's digest.
     """
+    own = [F.col(row), F.md5(F.coalesce(F.col("text").cast("string"), F.lit(""))).alias("tie")] if row else []
     order = F.md5(F.concat(F.lit(f"{seed}:"), F.coalesce(F.col("doc_id").cast("string"), F.lit(""))))
     sizes = materialize(
-        docs.select("doc_id", "source", word_count(F.col("text")).alias("size"), order.alias("turn")),
+        docs.select("doc_id", "source", word_count(F.col("text")).alias("size"), order.alias("turn"),
+                    *own),
         "mix-sizes",
     ).withColumn("slice", F.floor(F.conv(F.substring("turn", 1, 3), 16, 10).cast("int")
                                   * SLICES / 4096).cast("int"))
@@ -92,7 +96,7 @@ def mix(docs: DataFrame, weights: Sequence[int] = WEIGHTS, max_epochs: int = MAX
     slices = slices.withColumn("slices_before",
                                F.coalesce(F.sum("slice_size").over(in_order), F.lit(0)))
     slices = slices.join(targets, F.col("s_source").eqNullSafe(F.col("t_source"))).drop("t_source")
-    within = Window.partitionBy("source", "slice").orderBy("turn", "doc_id", "size").rowsBetween(
+    within = Window.partitionBy("source", "slice").orderBy("turn", "doc_id", "size", *["tie"] * bool(row)).rowsBetween(
         Window.unboundedPreceding, -1)
     placed = sizes.withColumn("before", F.coalesce(F.sum("size").over(within), F.lit(0))).join(
         slices, F.col("source").eqNullSafe(F.col("s_source")) & (F.col("slice") == F.col("s_slice")))
@@ -103,22 +107,19 @@ def mix(docs: DataFrame, weights: Sequence[int] = WEIGHTS, max_epochs: int = MAX
     return (
         placed.withColumn("whole", whole.cast("bigint")).withColumn("repeats", F.col("whole") + more)
         .select("doc_id", "source", "size", "source_size", "target", "repeats",
-                (F.col("repeats") * F.col("size")).alias("taken"))
+                (F.col("repeats") * F.col("size")).alias("taken"), *[row] * bool(row))
     )
 
 
 def mixed_documents(docs: DataFrame, **options) -> DataFrame:
-    """The documents as the mix takes them: each row ``repeats`` times.
-
-    ``doc_id`` and ``source`` tell how often, so rows with the same two share
-    their count (the largest, should they differ).
-    """
-    counts = (mix(docs, **options).groupBy(F.col("doc_id").alias("m_doc"), F.col("source").alias("m_source"))
-              .agg(F.max("repeats").alias("m_repeats")))
-    joined = docs.join(counts, docs["doc_id"].eqNullSafe(counts["m_doc"])
-                       & docs["source"].eqNullSafe(counts["m_source"])).where("m_repeats > 0")
-    return (joined.withColumn("m_copy", F.explode(F.sequence(F.lit(1), F.col("m_repeats").cast("int"))))
-            .select(*[docs[c] for c in docs.columns]))
+    """The documents as the mix takes them: each row as often as ``mix`` decided for
+    that row. Rows are numbered and written first, so that both reads agree."""
+    rows = materialize(docs.withColumn("m_row", F.monotonically_increasing_id()), "mix-rows")
+    counts = mix(rows, row="m_row", **options).where("repeats > 0").select(
+        "m_row", F.col("repeats").alias("m_repeats"))
+    return (rows.join(counts, "m_row")
+            .withColumn("m_copy", F.explode(F.sequence(F.lit(1), F.col("m_repeats").cast("int"))))
+            .select(*docs.columns))
 
 
 def op10_mixing(spark, sf_dir: str) -> DataFrame:

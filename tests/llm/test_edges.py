@@ -423,3 +423,18 @@ def test_mixing(odd, empty):
     copies = mixing.mixed_documents(docs)
     assert copies.columns == docs.columns
     assert mixing.mix(empty).collect() == [] and mixing.mixed_documents(empty).collect() == []
+
+
+def test_mixed_documents_repeat_each_row_as_often_as_the_mix_says(spark):
+    rows = [(None, f"w{i} " * 5, "a") for i in range(40)] + [(7, f"v{i} x y", "b") for i in range(60)]
+    docs = table(spark, rows)
+    mixed = mixing.mixed_documents(docs)
+    for source, words in (("a", 5), ("b", 3)):
+        of = lambda r: r.source == source
+        own = [r for r in mixing.mix(docs).collect() if of(r)]
+        taken = sum(r.taken for r in own)
+        assert abs(taken - own[0].target) <= words and len({r.repeats for r in own}) > 1
+        assert sum(map(of, mixed.collect())) == sum(r.repeats for r in own)
+    assert mixed.columns == docs.columns
+    assert sorted(map(repr, mixed.collect())) == sorted(
+        map(repr, mixing.mixed_documents(docs.repartition(5)).collect()))
