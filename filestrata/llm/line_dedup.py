@@ -113,8 +113,10 @@ def remove_repeats(docs: DataFrame, line_words: int = LINE_WORDS) -> DataFrame:
         "key", F.xxhash64("text"))
     # Half a digest tells what cannot be a repeat: all units are counted by it, and
     # only those it leaves are written. Scanning twice costs less disk than writing all.
-    again = texts.select("text").mapInArrow(count, "half bigint, n bigint").groupBy("half").agg(
-        F.sum("n").alias("n")).where("n > 1").select("half")
+    # Written, so that the join reads both sides as they are and can split a common unit.
+    again = materialize(
+        texts.select("text").mapInArrow(count, "half bigint, n bigint").groupBy("half").agg(
+            F.sum("n").alias("n")).where("n > 1").select("half"), "again")
     found = materialize(texts.select("doc_id", "key", "text").mapInArrow(
         scan, "doc_id bigint, key bigint, start int, end int, half bigint, other bigint")
         .join(again, "half"), "units")
