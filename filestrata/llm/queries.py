@@ -3,7 +3,9 @@
 from __future__ import annotations
 
 from .bpe import op6_bpe
+from .conversation_repair import OP12_SQL, op12_conversation_repair
 from .exact_dedup import OP3_SQL, op3_exact_dedup
+from .filter_audit import OP13_SQL, op13_filter_audit
 from .html_extraction import op4_html_extraction
 from .line_dedup import op9_line_dedup
 from .mixing import OP10_SQL, op10_mixing
@@ -24,5 +26,8 @@ QUERIES = {
     "op8_vector_search": op8_vector_search,
     "op9_line_dedup": op9_line_dedup,
     "op10_mixing": op10_mixing,
+    "op12_conversation_repair": op12_conversation_repair,
+    "op13_filter_audit": op13_filter_audit,
 }
-ORACLES = {"op3_exact_dedup": OP3_SQL, "op8_vector_search": OP8_SQL, "op10_mixing": OP10_SQL}
+ORACLES = {"op3_exact_dedup": OP3_SQL, "op8_vector_search": OP8_SQL, "op10_mixing": OP10_SQL,
+           "op12_conversation_repair": OP12_SQL, "op13_filter_audit": OP13_SQL}
