@@ -11,6 +11,7 @@ from .line_dedup import op9_line_dedup
 from .mixing import OP10_SQL, op10_mixing
 from .near_dup import op2_near_dedup
 from .pii import op7_pii
+from .quality import op11_quality
 from .suffix_dedup import op1_suffix_dedup
 from .toxicity import op5_toxicity
 from .vector_search import OP8_SQL, op8_vector_search
@@ -26,8 +27,10 @@ QUERIES = {
     "op8_vector_search": op8_vector_search,
     "op9_line_dedup": op9_line_dedup,
     "op10_mixing": op10_mixing,
+    "op11_quality": op11_quality,
     "op12_conversation_repair": op12_conversation_repair,
     "op13_filter_audit": op13_filter_audit,
 }
 ORACLES = {"op3_exact_dedup": OP3_SQL, "op8_vector_search": OP8_SQL, "op10_mixing": OP10_SQL,
-           "op12_conversation_repair": OP12_SQL, "op13_filter_audit": OP13_SQL}
+           "op11_quality": op11_quality,
+    "op12_conversation_repair": OP12_SQL, "op13_filter_audit": OP13_SQL}
