@@ -32,7 +32,7 @@ def test_equals_sql(spark, name):
 
 def test_every_operator_is_registered():
     numbers = {int(name[2:].split("_")[0]) for name in Q.QUERIES}
-    assert numbers == set(range(1, 11))
+    assert numbers == set(range(1, 14))
 
 
 def test_suffix_dedup(spark, documents):

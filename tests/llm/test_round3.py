@@ -1,0 +1,298 @@
+"""Quality classifier, conversation repair and filter audit: plain versions and odd inputs."""
+
+import hashlib
+import os
+import random
+import zlib
+from collections import Counter
+from itertools import combinations, permutations
+
+import numpy as np
+import pytest
+from pyspark.sql import functions as F
+
+from filestrata.llm import conversation_repair, filter_audit, quality
+from filestrata.llm import queries as Q
+
+SF_DIR = os.environ.get("TEST_SF_DIR", "/root/testdata/sf0.001")
+SPACES = " \t\n\x0b\x0c\r"
+
+
+# --- filter audit ---------------------------------------------------------------
+
+def words_of(text):
+    for space in SPACES:
+        text = text.replace(space, " ")
+    return [w for w in text.split(" ") if w]
+
+
+def audit(rows, labels):
+    """Every order, applied to the documents one filter after the other."""
+    first = {}
+    for i, text, _ in rows:
+        if i is not None:
+            first[text or ""] = min(i, first.get(text or "", i))
+    docs = []
+    for i, text, lang in rows:
+        text = text or ""
+        words = words_of(text)
+        fails = set()
+        if len(words) < 100:
+            fails.add("A")
+        if 100 * len(set(words)) < 80 * len(words):
+            fails.add("B")
+        if 100 * sum("A" <= c <= "Z" for c in text) > 10 * len(text):
+            fails.add("C")
+        if set(text) & set("#$%&*|"):
+            fails.add("D")
+        if i is not None and i > first[text]:
+            fails.add("E")
+        said = [x for x in labels if i is not None and x[0] == i]
+        docs.append((lang or "", fails, any(x[1] == 1 for x in said), any(x[2] == 1 for x in said)))
+    out = {}
+    for part in {d[0] for d in docs}:
+        removed = Counter()
+        for order in permutations("ABCDE"):
+            left = [d for d in docs if d[0] == part]
+            gone = []
+            for step, name in enumerate(order, 1):
+                now = [d for d in left if name in d[1]]
+                out[part, "".join(order), step] = [
+                    len(left) - len(now), len(now), sum(name in d[1] for d in gone),
+                    sum(d[0] == part and d[1] == {name} for d in docs),
+                    sum(d[2] for d in now), sum(d[3] for d in now), name]
+                removed[name] += len(now)
+                gone += now
+                left = [d for d in left if name not in d[1]]
+        for key in out:
+            if key[0] == part:
+                out[key][-1] = removed[out[key][-1]]
+    return {(*k, *v) for k, v in out.items()}
+
+
+AUDIT_SCHEMA = ("doc_id bigint, text string, lang string, mask int, part string, n int, kept int, "
+                "digest string, good int, toxic int, states string")
+
+
+def audit_table(spark, rows):
+    return spark.createDataFrame([(*r, 1, "x", 2, 3, "y", 4, 5, "z") for r in rows], AUDIT_SCHEMA)
+
+
+def test_filter_audit_equals_plain_version(spark):
+    rng = random.Random(5)
+    words = ["alpha", "Beta", "ÇA", "x#", "gamma", "δ", "50%", "AND", "of"] + [f"w{i}" for i in range(90)]
+    rows = [(i, " ".join(rng.choice(words[:rng.choice((9, 99))]) for _ in range(rng.choice((3, 99, 100, 140)))),
+             rng.choice(["en", "de", None, ""])) for i in range(60)]
+    rows += [(60 + i, rows[rng.randrange(20)][1], rng.choice(["en", "de"])) for i in range(25)]
+    rows += [(90, None, "en"), (91, "", "en"), (92, "", None), (None, "", "en"), (None, rows[0][1], "fr"),
+             (93, "w1 w2 " * 40_000, "long"), (94, " \t\r\n\x0b", "de"), (94, rows[3][1], "de"),
+             (94, rows[3][1], "de"), (95, "A" + "b" * 9, "edge"), (96, "AB" + "b" * 9, "edge")]
+    labels = [(i, rng.choice([0, 1, None]), rng.choice([0, 1, None])) for i in rng.sample(range(96), 70)]
+    labels += [(None, 1, 1), (94, 0, 0), (94, 1, 0), (94, 0, 1), (1000, 1, 1)]
+    said = spark.createDataFrame([(*x, "en") for x in labels],
+                                 "doc_id bigint, quality int, toxic int, part string")
+    got = filter_audit.filter_interactions(audit_table(spark, rows), said)
+    assert {tuple(r) for r in got.collect()} == audit(rows, labels)
+    none = spark.createDataFrame([], said.schema)
+    assert {tuple(r) for r in filter_audit.filter_interactions(
+        audit_table(spark, rows[:7]), none).collect()} == audit(rows[:7], [])
+    assert filter_audit.filter_interactions(audit_table(spark, []), said).collect() == []
+
+
+def test_gray_walk_equals_every_subset():
+    rng = random.Random(8)
+    cells = [(mask, rng.randrange(9), rng.randrange(3)) for mask in range(32)]
+    states = filter_audit.gray_walk(cells, 5)
+    for size in range(6):
+        for active in combinations(range(5), size):
+            bits = sum(1 << i for i in active)
+            assert states[bits] == [sum(c[k] for c in cells if not c[0] & bits) for k in (1, 2)]
+
+
+# --- conversation repair --------------------------------------------------------
+
+def cheapest(rows):
+    """Cost, edits and text by the shortest path over states; rows are
+    ``(role, text, must go, truncated)``."""
+    follows = {("", "s"), ("", "u"), ("s", "u"), ("u", "a"), ("a", "u")}
+    roles = {"u": "user", "a": "assistant"}
+
+    def inserts(states):
+        for _ in range(3):
+            more = dict(states)
+            for last, (cost, edits, said) in states.items():
+                for x in "ua":
+                    if (last, x) in follows:
+                        found = (cost + 3, edits + "I", [*said, roles[x] + ":"])
+                        more[x] = min(more.get(x, found), found)
+            states = more
+        return states
+
+    states = inserts({"": (0, "", [])})
+    for role, text, must_go, truncated in rows:
+        then = {}
+
+        def put(state, *found):
+            then[state] = min(then.get(state, found), found)
+
+        for last, (cost, edits, said) in states.items():
+            put(last, cost + 4, edits + "D", said)
+            if must_go:
+                continue
+            if (last, role[:1]) in follows:
+                put(role[:1], cost + 3 * truncated, edits + "K", [*said, f"{role}:{text}"])
+            for x in "ua":
+                if (last, x) in follows:
+                    put(x, cost + 3 + 3 * truncated, edits + "R", [*said, f"{roles[x]}:{text}"])
+        states = inserts(then)
+    cost, edits, said = min(states[s] for s in ("", "a") if s in states)
+    return cost, edits, hashlib.sha256("\n".join(said).encode()).hexdigest()
+
+
+def repaired(rows):
+    """The contract, conversation by conversation, over ``(conv_id, turn, role, text)``."""
+    kept = {}
+    for conv, turn, role, text in rows:
+        own = kept.setdefault(conv, [])
+        key = f"{' ' if conv is None else conv}:{' ' if turn is None else turn}"
+        kind = zlib.crc32(key.encode()) % 20
+        role, text = " " if role is None else role, " " if text is None else text
+        text = "" if kind == 1 else "".join(c for c in text if c not in ".!?") if kind == 2 else text
+        own += [(turn, "user" if kind == 4 else role, text)] * {0: 0, 3: 2}.get(kind, 1)
+    out = set()
+    for conv, own in kept.items():
+        mark = f"{'-' if conv is None else conv}:"
+        own.sort(key=lambda r: (r[0] is not None, r[0] or 0, r[1], hashlib.sha256(
+            f"{mark}{len(r[1])}:{r[1]}{r[2]}".encode()).digest()))
+        seen, faults, marked, illegal = set(), Counter(), [], 0
+        for i, (turn, role, text) in enumerate(own):
+            bare = text.strip(SPACES)
+            fault = ("blank" if not bare else "duplicate" if (role, text) in seen
+                     else "truncated" if bare[-1] not in ".!?" else "")
+            faults[fault] += 1
+            seen.add((role, text))
+            marked.append((role, text, fault in ("blank", "duplicate"), fault == "truncated"))
+            illegal += i > 0 and own[i - 1][1][:1] + role[:1] not in ("su", "ua", "au")
+        turns = [r[0] for r in own if r[0] is not None]
+        gaps = max(turns) - min(turns) + 1 - len(set(turns)) if turns else 0
+        out.add((conv, gaps, faults["blank"], faults["duplicate"], faults["truncated"], illegal,
+                 *cheapest(marked)))
+    return out
+
+
+def conversations(spark, rows):
+    return spark.createDataFrame(
+        [(*r, 7, "k", "a", 1) for r in rows],
+        "conv_id bigint, turn bigint, role string, text string, copies int, line string, "
+        "audit string, part int")
+
+
+@pytest.mark.parametrize("parts", ["1", "8"])
+def test_repair_equals_plain_version(spark, parts):
+    rng = random.Random(13)
+    roles = ["user", "assistant", "user", "assistant", "system", "tool", None, "", "under", "User"]
+    texts = ["Yes.", "No", "Done!", "why?  \n", "", " \t", None, "ends\x0b", "é é.", "...", "ok. ok"]
+    rows = [(conv, turn if rng.random() < 0.9 else rng.choice([None, 3]),
+             ["user", "assistant"][turn % 2] if rng.random() < 0.7 else rng.choice(roles),
+             f"turn {turn}." if rng.random() < 0.6 else rng.choice(texts))
+            for conv in [*range(60), None] for turn in range(rng.randrange(1, 14))]
+    # One conversation that crosses tasks, with copies of one row and of one line.
+    rows += [(70, turn, ["user", "assistant"][turn % 2], rng.choice([f"line {turn}.", "again.", "cut"]))
+             for turn in range(400)] + [(70, 5, "user", "twin")] * 90
+    rows += [(71, turn, rng.choice(["user", "assistant", "system"]), f"{turn} " + "long text " * 20_000 + ".")
+             for turn in range(5)]
+    spark.conf.set("spark.sql.shuffle.partitions", parts)
+    try:
+        got = conversation_repair.repair_conversations(
+            conversation_repair.damaged(conversations(spark, rows)))
+        assert sorted(map(tuple, got.collect()), key=repr) == sorted(repaired(rows), key=repr)
+        none = conversation_repair.damaged(conversations(spark, []))
+        assert conversation_repair.repair_conversations(none).collect() == []
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", "8")
+
+
+def test_pieces_give_the_cell_of_the_whole(monkeypatch):
+    rng = random.Random(4)
+    for _ in range(40):
+        rows = [(rng.choice("uuaaUAsSox"), 1) for _ in range(rng.randrange(1, 30))]
+        cells = []
+        for size in (1, 5, 16):
+            monkeypatch.setattr(conversation_repair, "PIECE", size)
+            parse = conversation_repair.Parse()
+            for symbol, count in rows:
+                parse.add(symbol, count)
+            cells.append(parse.cell())
+        assert cells[0] == cells[1] == cells[2]
+        role = {"u": "user", "a": "assistant", "s": "system", "o": "tool", "x": "user"}
+        plain = [(role[s.lower()], "", s == "x", s.isupper()) for s, _ in rows]
+        assert conversation_repair.best(cells[0]) == cheapest(plain)[:2]
+
+
+# --- quality --------------------------------------------------------------------
+
+def test_score_equals_all_pairs():
+    rng = np.random.default_rng(2)
+    machine = quality.Machine(0.3, rng.normal(0, 0.3, quality.FEATURES).astype(np.float32),
+                              rng.normal(0, 0.3, (quality.FEATURES, quality.RANK)).astype(np.float32))
+    places, values = quality.features("One two two. THREE!! | 4\nline\nline", 7, {})
+    logit = machine.constant + sum(machine.weights[p] * x for p, x in zip(places, values))
+    logit += sum(machine.vectors[p] @ machine.vectors[q] * x * y
+                 for (p, x), (q, y) in combinations(list(zip(places, values)), 2))
+    assert machine.score(places, values) == pytest.approx(1 / (1 + np.exp(-logit)), abs=1e-5)
+
+
+def test_machine_learns_a_pair_that_no_single_feature_tells():
+    """Label 1 if exactly one of two features is there."""
+    rng = np.random.default_rng(3)
+    rows = [(rng.random() < 0.5, rng.random() < 0.5) for _ in range(3000)]
+    own = [np.array([2, *([0] * a), *([1] * b)]) for a, b in rows]
+    starts = np.concatenate([[0], np.cumsum([len(p) for p in own])])
+    label = np.array([a != b for a, b in rows], np.float32)
+    machine = quality.fit_machine(starts, np.concatenate(own), np.ones(starts[-1], np.float32), label)
+    for a, b in ((0, 0), (0, 1), (1, 0), (1, 1)):
+        at = np.array([2, *([0] * a), *([1] * b)])
+        assert (machine.score(at, np.ones(len(at), np.float32)) > 0.5) == (a != b)
+
+
+@pytest.mark.skipif(not os.path.isdir("/root/testdata/sf0.01"), reason="no test tables")
+def test_held_out_quality(spark):
+    """Better than calling every document good, which finds none of the others."""
+    sf = "/root/testdata/sf0.01"
+    labels = {r.doc_id: r.quality for r in spark.read.parquet(f"{sf}/labels.parquet").collect()}
+    found = Counter()
+    for r in Q.QUERIES["op11_quality"](spark, sf).collect():
+        assert r.held_out == (zlib.crc32(str(r.doc_id).encode()) % 5 == 0)
+        assert 0 <= r.score <= 1 and r.predicted == (r.score >= 0.3)
+        if r.held_out and r.doc_id in labels:
+            found[labels[r.doc_id], r.predicted] += 1
+    assert found[0, 0] >= 0.6 * (found[0, 0] + found[0, 1]) > 0
+    assert found[1, 1] >= 0.95 * (found[1, 0] + found[1, 1])
+
+
+def test_quality_inputs(spark):
+    schema = ("doc_id bigint, text string, lang string, source string, n_chars bigint, quality int, "
+              "places string, declared string, score double, model string")
+    junk, good = "BUY!! ### " * 60, "a quiet line about the sea and the hills. "
+    rows = [(i, (junk if i % 3 == 0 else good * (1 + i % 4)) + f"w{i}", "en", "s", 50 * i) for i in range(90)]
+    odd = [(200, None, None, None, None), (201, "", "x", None, -5), (None, good, "en", "s", 3),
+           (202, good * 20_000, "en", "s", None), (3, good, "en", "s", 1), (3, good, "en", "s", 1)]
+    docs = spark.createDataFrame([(*r, 0, "p", "d", 0.1, "m") for r in rows + odd], schema)
+    labels = spark.createDataFrame(
+        [(i, int(i % 3 != 0)) for i in range(60)] + [(None, 1), (61, 7), (62, None), (999, 0)],
+        "doc_id bigint, quality int")
+    got = quality.score_documents(docs, labels).collect()
+    assert Counter(r.doc_id for r in got) == Counter(r[0] for r in rows + odd)
+    assert all(0 <= r.score <= 1 and r.predicted == (r.score >= 0.3) for r in got)
+    of = {r.doc_id: r.predicted for r in got}
+    assert all(of[i] == (i % 3 != 0) for i in range(60, 90))
+    # Neither lang nor source nor the label of a held-out row is an input.
+    other = labels.withColumn("quality", F.when(quality.held_out(F.col("doc_id")), 1 - F.col("quality"))
+                              .otherwise(F.col("quality")))
+    changed = docs.withColumn("lang", F.lit("zz")).withColumn("source", F.lit("other"))
+    again = quality.score_documents(changed, other).collect()
+    assert sorted(map(tuple, got), key=repr) == sorted(map(tuple, again), key=repr)
+    blind = quality.score_documents(docs, labels.where("quality > 5")).collect()
+    assert {r.score for r in blind} == {0.5}
+    assert quality.score_documents(docs.where("false"), labels).collect() == []
+    assert quality.score_documents(docs.drop("n_chars"), labels).count() == len(rows + odd)
