@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
-from . import canonical, control, files, values
+from . import canonical, contracts, control, files, values
 
-MODULES = (values, control, files, canonical)
+MODULES = (values, control, files, canonical, contracts)
 
 QUERIES = {name: query for module in MODULES for name, query in module.QUERIES.items()}
 ORACLES = {name: sql for module in MODULES for name, sql in module.ORACLES.items()}

@@ -3,6 +3,7 @@ back by the scans and jobs, and compared with the tables."""
 
 from __future__ import annotations
 
+import posixpath
 from functools import reduce
 
 from pyspark.sql import DataFrame
@@ -17,7 +18,7 @@ from ..sources import delimited, workbook
 from ..sources.files import hash_files
 from ..sources.groups import drop_empty_rows
 from ..sources.tables import read_table
-from ..storage import scratch_dir
+from ..storage import delete_path, scratch_dir
 from .inputs import table, write_csv, write_text_files, write_workbooks, written_files
 
 QUERIES, ORACLES = {}, {}
@@ -361,3 +362,44 @@ ORACLES["empty_rows_kept_out"] = """
 select case when value >= 5 then props end as props,
   case when event_type = 'click' then user_id end as user_id, event_id as _record_number
 from events where (value >= 5 and props is not null) or (event_type = 'click' and user_id is not null)"""
+
+
+class _FilesVanish(BronzeBatch):
+    """A batch whose first files, by name, are gone once their headers are known."""
+
+    def _csv_groups(self, paths):
+        errors, groups = super()._csv_groups(paths)
+        for path in sorted(r.source_path for r in paths.select("source_path").collect()):
+            if posixpath.basename(path) < "part-10":
+                delete_path(self.spark, path)
+        return errors, groups
+
+
+def vanishing_files(spark, sf):
+    """All order lines as 14 files, of which the first ten are broken before
+    their rows are read: each fails alone, all others are published whole."""
+    root = scratch_dir(spark, "vanishing")
+    lines = table(spark, sf, "lineitem").select(
+        (F.col("l_suppkey") % 14).alias("part"), F.col("l_orderkey").cast("string").alias("pedido"),
+        F.col("l_linenumber").cast("string").alias("linha"))
+    row = F.concat("pedido", F.lit(";"), "linha")
+    texts = lines.groupBy("part").agg(F.array_join(F.collect_list(row), "\n").alias("rows"))
+    write_text_files(texts.select(
+        F.concat(F.lit("part-"), F.lpad(F.col("part").cast("string"), 2, "0"), F.lit(".csv"))
+        .alias("relative_path"), F.concat(F.lit("pedido;linha\n"), "rows", F.lit("\n")).alias("text")),
+        f"{root}/raw/2024-01-01")
+    landed = run_landing(spark, f"{root}/raw", f"{root}/lake", f"{root}/metadata", "contracts").where(
+        F.col("file_extension") == ".csv")
+    done = _FilesVanish(
+        spark, f"{root}/lake", f"{root}/bronze", f"{root}/control", attempts=1).run(landed)
+    rows = spark.read.parquet(f"{root}/bronze").groupBy(F.col("_source_file").alias("source_file")).agg(
+        F.count("*").alias("n_rows"))
+    return done.select("source_file", "status").join(rows, "source_file", "left").fillna(0, ["n_rows"])
+
+
+QUERIES["vanishing_files"] = vanishing_files
+ORACLES["vanishing_files"] = """
+select 'part-' || lpad((l_suppkey % 14)::varchar, 2, '0') || '.csv' as source_file,
+  case when l_suppkey % 14 < 10 then 'FAILED' else 'SUCCESS' end as status,
+  case when l_suppkey % 14 < 10 then 0 else count(*) end as n_rows
+from lineitem group by l_suppkey % 14"""
