@@ -18,6 +18,7 @@ from ..sources import delimited, workbook
 from ..sources.files import hash_files
 from ..sources.groups import drop_empty_rows
 from ..sources.tables import read_table
+from ..sources.workbook_source import read_workbooks
 from ..storage import delete_path, scratch_dir
 from .inputs import table, write_csv, write_text_files, write_workbooks, written_files
 
@@ -348,6 +349,31 @@ ORACLES["sample_scan"] = """
 select 4 as last_row, true as marked from part having count(*) >= 4"""
 
 
+def workbook_source(spark, sf):
+    """All parts as workbooks, through the Spark data source: every row of them, and
+    how many workbooks show their header in a second load of two rows each."""
+    root = scratch_dir(spark, "workbooks")
+    parts = table(spark, sf, "part").select(
+        F.col("p_partkey").cast("string").alias("Nº"), F.col("p_name").alias("Nome"),
+        F.when(F.col("p_size") > 25, F.col("p_brand")).alias("Marca"))
+    write_workbooks(parts, f"{root}/a", "xlsx", rows_per_file=500)
+    write_workbooks(parts, f"{root}/b", "xlsb", rows_per_file=700)
+    files = written_files(spark, root)
+    rows = read_workbooks(files).where("row_idx > 0").select(
+        *[F.get("cells", F.lit(i)).alias(n) for i, n in enumerate(("no", "nome", "marca"))])
+    tops = read_workbooks(files, rows=2).groupBy("source_path").agg(
+        F.max("row_idx").alias("last"), F.bool_or(F.array_contains("cells", "Nome")).alias("marked"))
+    unlike = tops.where("last <> 1 or not marked").select(
+        F.col("source_path").alias("no"), F.lit("top").alias("nome"), F.lit(None).cast("string").alias("marca"))
+    return rows.unionByName(unlike)
+
+
+QUERIES["workbook_source"] = workbook_source
+ORACLES["workbook_source"] = """
+select p_partkey::varchar as no, p_name as nome, case when p_size > 25 then p_brand end as marca
+from part, range(2)"""
+
+
 def empty_rows_kept_out(spark, sf):
     """Rows blank in every data column leave, whatever their lineage says."""
     events = table(spark, sf, "events").select(
