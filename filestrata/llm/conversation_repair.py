@@ -16,7 +16,6 @@ from __future__ import annotations
 
 import hashlib
 from collections.abc import Iterable, Iterator, Sequence
-from functools import lru_cache
 
 import pyarrow as pa
 from pyspark import TaskContext
@@ -31,6 +30,7 @@ TRUNCATED = 3
 # Rows that one chart spans, all splits of all spans; longer conversations are
 # combined from such pieces.
 PIECE = 16
+# Charts of pieces that a task remembers.
 CHARTS = 50_000
 
 # What a span can become. D: nothing; xy: turns from x to y, u for user and a for
@@ -77,7 +77,6 @@ def closed(cell: Cell) -> Cell:
     return _better(before, combine(before, INSERTED))
 
 
-@lru_cache(maxsize=4096)
 def leaf(symbol: str, count: int) -> Cell:
     """The cell of one row, or of ``count`` rows that must go (symbol ``x``).
 
@@ -94,7 +93,6 @@ def leaf(symbol: str, count: int) -> Cell:
     return closed(cell)
 
 
-@lru_cache(maxsize=CHARTS)
 def chart(shape: tuple[tuple[str, int], ...]) -> Cell:
     """The cell of a piece: every span from every split of it, shorter spans first."""
     n = len(shape)
@@ -110,7 +108,8 @@ class Parse:
     """Rows one by one into the cell of their whole span; holds a few short strings
     of edits for each span that waits for its neighbour of equal length."""
 
-    def __init__(self) -> None:
+    def __init__(self, charts: dict[tuple, Cell] | None = None) -> None:
+        self.charts = {} if charts is None else charts
         self.shape: list[tuple[str, int]] = []
         self.spans: list[tuple[int, Cell]] = []
 
@@ -123,8 +122,13 @@ class Parse:
 
     def _flush(self) -> None:
         if self.shape:
-            self.join(chart(tuple(self.shape)))
-            self.shape = []
+            shape, self.shape = tuple(self.shape), []
+            cell = self.charts.get(shape)
+            if cell is None:
+                cell = chart(shape)
+                if len(self.charts) < CHARTS:
+                    self.charts[shape] = cell
+            self.join(cell)
 
     def join(self, cell: Cell) -> None:
         size = 1
@@ -212,8 +216,8 @@ _LEGAL = {"su", "ua", "au"}
 class Run:
     """What is known of neighbouring rows of one conversation."""
 
-    def __init__(self, conv_id: int | None) -> None:
-        self.conv_id, self.parse, self.n = conv_id, Parse(), 0
+    def __init__(self, conv_id: int | None, charts: dict | None = None) -> None:
+        self.conv_id, self.parse, self.n = conv_id, Parse(charts), 0
         self.counts = dict.fromkeys(COUNTS, 0)
         self.first = self.last = None
         self.low = self.high = None
@@ -291,13 +295,14 @@ def parse_conversations(rows: DataFrame) -> DataFrame:
     """
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         part, own, done, first = TaskContext.get().partitionId(), None, [], True
+        charts: dict[tuple, Cell] = {}
         for batch in batches:
             for conv_id, *row in zip(*(c.to_pylist() for c in batch.columns)):
                 if own is None or conv_id != own.conv_id:
                     if own is not None:
                         done.append(own.piece(part, first))
                         first = False
-                    own = Run(conv_id)
+                    own = Run(conv_id, charts)
                 own.add(*row)
             yield _table(done, _PIECES)
             done = []
