@@ -31,6 +31,7 @@ LEAST_LOG_ODDS = 2.0
 VOTERS = 512
 THRESHOLD = 0.7
 ROUNDS = 25
+BLOCK_ROWS = 2_000
 
 # A small general lexicon by theme and patterns of abuse.
 LEXICON = {
@@ -125,16 +126,23 @@ def label_model(votes: np.ndarray, label: np.ndarray, rounds: int = ROUNDS):
     per voter, its log odds and that share.
     """
     n, m = votes.shape
+    # Votes are small numbers, gone through in blocks: no wider copy of all of them.
+    blocks = [slice(at, at + BLOCK_ROWS) for at in range(0, n, BLOCK_ROWS)]
+
+    def weighed(by: np.ndarray) -> np.ndarray:
+        return sum((by[b] @ votes[b] for b in blocks), np.zeros(m))
+
     posterior = np.where(label == 1, 0.9, 0.05)
     share = np.ones(m)
     for turn in range(rounds):
         weight = posterior.sum()
-        rate = np.stack([((1 - posterior) @ votes + 0.1) / (n - weight + 1),
-                         (posterior @ votes + 0.1) / (weight + 1)])
+        rate = np.stack([(weighed(1 - posterior) + 0.1) / (n - weight + 1),
+                         (weighed(posterior) + 0.1) / (weight + 1)])
         if turn in (0, rounds // 2):
-            mean = np.outer(1 - posterior, rate[0]) + np.outer(posterior, rate[1])
-            rest = votes - mean
-            moments = rest.T @ rest
+            moments = np.zeros((m, m))
+            for b in blocks:
+                rest = votes[b] - np.outer(1 - posterior[b], rate[0]) - np.outer(posterior[b], rate[1])
+                moments += rest.T @ rest
             deviation = np.sqrt(np.maximum(np.diag(moments), 1e-9))
             share = 1 / np.maximum(((moments / np.outer(deviation, deviation)) ** 2).sum(0), 1.0)
         agree = np.clip(np.array([((1 - posterior) @ (label == 0) + 1) / (n - weight + 2),
@@ -142,7 +150,8 @@ def label_model(votes: np.ndarray, label: np.ndarray, rounds: int = ROUNDS):
         on = np.log(rate[1] / rate[0]) * share
         off = np.log((1 - rate[1]) / (1 - rate[0])) * share
         prior = np.clip(weight / n, 1e-3, 1 - 1e-3)
-        logit = (np.log(prior / (1 - prior)) + votes @ (on - off) + off.sum()
+        said = np.concatenate([votes[b] @ (on - off) for b in blocks]) if blocks else np.zeros(0)
+        logit = (np.log(prior / (1 - prior)) + said + off.sum()
                  + np.where(label == 1, np.log(agree[1] / (1 - agree[0])),
                             np.log((1 - agree[1]) / agree[0])))
         posterior = 1 / (1 + np.exp(-np.clip(logit, -30, 30)))
@@ -185,8 +194,8 @@ def fit(docs: DataFrame, labels: DataFrame, rows: int = TRAINING_ROWS) -> dict[s
         table = table.sort_by("doc_id")
         label = table["toxic"].to_numpy()
         matrix = np.zeros((len(label), len(names)), np.float32)
-        for i, own in enumerate(table["votes"].to_pylist()):
-            matrix[i, own] = 1
+        own = table["votes"].combine_chunks()
+        matrix[np.repeat(np.arange(len(label)), own.value_lengths().to_numpy()), own.flatten().to_numpy()] = 1
         posterior, _, _ = label_model(matrix, label)
         weights = linear_classifier(matrix, posterior)
         return pa.table({"weights": pa.array([weights.tolist()], pa.list_(pa.float64()))})
