@@ -296,3 +296,44 @@ def test_quality_inputs(spark):
     assert {r.score for r in blind} == {0.5}
     assert quality.score_documents(docs.where("false"), labels).collect() == []
     assert quality.score_documents(docs.drop("n_chars"), labels).count() == len(rows + odd)
+
+
+# --- near duplicates in large groups --------------------------------------------
+
+def test_near_duplicates_in_a_large_group_of_unlike_texts(spark, monkeypatch):
+    """Texts of one template that are alike, but mostly below 0.8: links among them
+    are found though no two of a bucket need to meet."""
+    from filestrata.llm import near_dup
+
+    rng = random.Random(21)
+    base = [f"w{i}" for i in range(240)]
+
+    def edited(words, n):
+        words = list(words)
+        for at in rng.sample(range(len(words)), n):
+            words[at] = f"e{rng.random()}"
+        return words
+
+    texts = [edited(base, 14) for _ in range(260)]
+    # Pairs from 0.8 up to 0.95.
+    texts += [edited(texts[i], rng.choice((2, 3, 4, 5))) for i in range(60)]
+    rows = [(i, " ".join(t)) for i, t in enumerate(texts)]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string")
+    sets = {i: {tuple(t[k:k + 5]) for k in range(len(t) - 4)} for i, t in enumerate(texts)}
+    links = [(a, b) for a, b in combinations(sets, 2)
+             if len(sets[a] & sets[b]) >= 0.8 * len(sets[a] | sets[b])]
+    assert len(links) > 40
+    monkeypatch.setattr(near_dup, "PAIRWISE", 6)
+    compared = []
+    verified = near_dup._verified
+    monkeypatch.setattr(near_dup, "_verified", lambda pairs, *a: compared.append(pairs.count()) or verified(pairs, *a))
+    of = {r.doc_id: r.class_id for r in near_dup.near_duplicates(docs).collect()}
+    joined = [of[a] == of[b] for a, b in links]
+    assert sum(joined) >= 0.9 * len(links)
+    # And no others.
+    parent = {i: i for i in sets}
+    for a, b in links:
+        old, new = parent[b], parent[a]
+        parent = {i: new if p == old else p for i, p in parent.items()}
+    assert all(parent[a] == parent[b] for a in sets for b in [of[a]])
+    assert compared[-1] < 0.25 * len(sets) ** 2 / 2
