@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 
 from ..functions import paths as P
 from ..functions import text as T
+from ..functions.folding import fold_accents
 from ..functions.headers import layout_name, reader_names, technical_names
 from ..operators.lineage import add_lineage, attach_file_attributes
 from ..sources.files import with_path_attributes
@@ -248,3 +249,18 @@ select page_id, snap as snapshot_date, name as source_file, rel as relative_path
   'landing/snapshot_date=' || snap || '/' || substr(rel, length(snap) + 2) as landing_key,
   lower(regexp_extract(name, '^.+(\.[^.]+)$', 1)) as file_extension
 from n"""
+
+
+def fold_values(spark, sf):
+    """Whole documents without accents, and how many signs that took."""
+    folded = fold_accents(F.col("text"))
+    return table(spark, sf, "documents").select(
+        "doc_id", F.sha2(folded, 256).alias("folded_sha256"),
+        (F.char_length("text") - F.char_length(folded)).cast("bigint").alias("n_marks"))
+
+
+QUERIES["fold_values"] = fold_values
+ORACLES["fold_values"] = """
+select doc_id, sha256(strip_accents(text)) as folded_sha256,
+  (length(text) - length(strip_accents(text)))::bigint as n_marks
+from documents"""
