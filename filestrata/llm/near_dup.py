@@ -33,9 +33,9 @@ ROWS = 6
 HUB_ROUNDS = 3
 # Buckets of more texts than this that are still unlike are dealt again: by bands of
 # 18 rows, which split texts of middling similarity, and so many of them that a pair at
-# 0.8 misses all with a probability of 0.01; if that leaves such buckets, by 27 rows.
+# 0.8 misses all with a probability of 0.01. What shares such a band is compared.
 PAIRWISE = 64
-DEEPER = ((18, 256), (27, 1900))
+DEEPER = ((18, 256),)
 # Elements and darts handled at a time: bounds a task's memory.
 AT_ONCE = 500_000
 
@@ -218,7 +218,7 @@ def _dealt_again(texts: DataFrame, sets: DataFrame, rows: int, bands: int) -> Da
     their shingle sets; buckets of one text are left out."""
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         # Darts of so many sets are in memory at a time.
-        few = max(1, AT_ONCE // (rows * bands * 16))
+        few = max(16, AT_ONCE // (rows * bands * 16))
         for batch in batches:
             for at in range(0, batch.num_rows, few):
                 own = batch.slice(at, few)
