@@ -406,7 +406,7 @@ def vanishing_files(spark, sf):
     their rows are read: each fails alone, all others are published whole."""
     root = scratch_dir(spark, "vanishing")
     lines = table(spark, sf, "lineitem").select(
-        (F.col("l_suppkey") % 14).alias("part"), F.col("l_orderkey").cast("string").alias("pedido"),
+        (F.col("l_orderkey") % 14).alias("part"), F.col("l_orderkey").cast("string").alias("pedido"),
         F.col("l_linenumber").cast("string").alias("linha"))
     row = F.concat("pedido", F.lit(";"), "linha")
     texts = lines.groupBy("part").agg(F.array_join(F.collect_list(row), "\n").alias("rows"))
@@ -425,7 +425,7 @@ def vanishing_files(spark, sf):
 
 QUERIES["vanishing_files"] = vanishing_files
 ORACLES["vanishing_files"] = """
-select 'part-' || lpad((l_suppkey % 14)::varchar, 2, '0') || '.csv' as source_file,
-  case when l_suppkey % 14 < 10 then 'FAILED' else 'SUCCESS' end as status,
-  case when l_suppkey % 14 < 10 then 0 else count(*) end as n_rows
-from lineitem group by l_suppkey % 14"""
+select 'part-' || lpad((l_orderkey % 14)::varchar, 2, '0') || '.csv' as source_file,
+  case when l_orderkey % 14 < 10 then 'FAILED' else 'SUCCESS' end as status,
+  case when l_orderkey % 14 < 10 then 0 else count(*) end as n_rows
+from lineitem group by l_orderkey % 14"""
