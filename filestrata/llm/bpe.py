@@ -29,6 +29,12 @@ ENDINGS = ("s", "t", "re", "ve", "m", "ll", "d")
 
 SPACE, LETTER, NUMBER, OTHER = 0, 1, 2, 3
 
+# They bound a task's memory: code points of a block's texts, code points of all
+# texts for each bucket of words, and words that the tokenizer encodes at a time.
+BLOCK_CHARS = 2 << 20
+BUCKET_CHARS = 64 << 20
+WORDS_AT_ONCE = 10_000
+
 
 def character_classes() -> np.ndarray:
     """The class of every code point."""
@@ -167,7 +173,8 @@ def vocabulary(spark: SparkSession, path: str) -> DataFrame:
     return spark.createDataFrame(sorted(pieces.items()), "id int, piece binary")
 
 
-def encode_and_decode(docs: DataFrame, tokenizer_path: str, **block_options) -> DataFrame:
+def encode_and_decode(docs: DataFrame, tokenizer_path: str,
+                      block_bytes: int = BLOCK_CHARS) -> DataFrame:
     """``doc_id``, ``ids`` (array of int) and ``decoded`` of every row of ``docs``.
 
     The ids are those of the whole text with no special tokens added; special
@@ -176,8 +183,9 @@ def encode_and_decode(docs: DataFrame, tokenizer_path: str, **block_options) ->
     are ignored.
     """
     spark = docs.sparkSession
-    blocks = text_blocks(docs, **block_options)
-    buckets = partitions(spark)
+    blocks = text_blocks(docs, block_bytes)
+    size = blocks.agg(F.sum("size")).first()[0] or 0
+    buckets = max(partitions(spark), -(-size // BUCKET_CHARS))
     special, classes = special_tokens(tokenizer_path), character_classes()
     tokenizers: dict = {}  # one for each task
     pieces = [row.piece for row in vocabulary(spark, tokenizer_path).orderBy("id").collect()]
@@ -207,9 +215,14 @@ def encode_and_decode(docs: DataFrame, tokenizer_path: str, **block_options) ->
             tokenizers[0] = Tokenizer.from_file(tokenizer_path)
         lists = [unpack(w)["word"].combine_chunks() for w in table["words"].to_pylist()]
         coded = pa.chunked_array(lists).combine_chunks().dictionary_encode()
-        encoded = tokenizers[0].encode_batch(coded.dictionary.to_pylist(), add_special_tokens=False)
-        counts = np.fromiter((len(e.ids) for e in encoded), np.int64, len(encoded))
-        ids = np.fromiter((i for e in encoded for i in e.ids), np.int32, counts.sum()).astype(kind)
+        per_slice, ids_of_slice = [], []
+        for at in range(0, len(coded.dictionary), WORDS_AT_ONCE):
+            # What the tokenizer returns of a word is far larger than its ids.
+            encoded = [e.ids for e in tokenizers[0].encode_batch(
+                coded.dictionary.slice(at, WORDS_AT_ONCE).to_pylist(), add_special_tokens=False)]
+            per_slice.append(np.fromiter(map(len, encoded), np.int64, len(encoded)))
+            ids_of_slice.append(np.fromiter((i for e in encoded for i in e), kind, per_slice[-1].sum()))
+        counts, ids = np.concatenate(per_slice), np.concatenate(ids_of_slice)
         at, n = _gather(np.concatenate([[0], np.cumsum(counts)]), coded.indices.to_numpy())
         per_word = np.concatenate([[0], np.cumsum(n)])
         edges = np.concatenate([[0], np.cumsum([len(x) for x in lists])])

@@ -47,7 +47,8 @@ def pack(table: pa.Table) -> bytes:
 
 
 def text_blocks(docs: DataFrame, block_bytes: int = BLOCK_BYTES) -> DataFrame:
-    """``block`` and ``docs`` (see ``unpack``), written to the shared folder.
+    """``block``, ``docs`` (see ``unpack``) and ``size`` (code points of the texts),
+    written to the shared folder.
 
     Every document is in one block; a block's documents come from one input
     partition and keep their order. The table is bucketed by ``block``: what is
@@ -63,7 +64,8 @@ def text_blocks(docs: DataFrame, block_bytes: int = BLOCK_BYTES) -> DataFrame:
                 "block": pa.array([part << 32 | number], pa.int64()),
                 "docs": pa.array([pack(pa.table({
                     "doc_id": pa.array(ids, pa.int64()),
-                    "text": pa.array(texts, pa.large_string())}))], pa.binary())})
+                    "text": pa.array(texts, pa.large_string())}))], pa.binary()),
+                "size": pa.array([held], pa.int64())})
             number, ids, texts, held = number + 1, [], [], 0
             return out
 
@@ -82,6 +84,6 @@ def text_blocks(docs: DataFrame, block_bytes: int = BLOCK_BYTES) -> DataFrame:
     packed = docs.select(F.col("doc_id").cast("bigint"), F.col("text").cast("string"))
     path = scratch_dir(spark, "blocks")
     table = "blocks_" + path.rsplit("-", 1)[-1]
-    (packed.mapInArrow(run, "block bigint, docs binary").write.format("parquet")
+    (packed.mapInArrow(run, "block bigint, docs binary, size bigint").write.format("parquet")
      .bucketBy(partitions(spark), "block").option("path", path).saveAsTable(table))
     return spark.table(table)
