@@ -13,6 +13,7 @@ import re
 from bisect import bisect_right
 from collections import Counter
 from collections.abc import Iterable, Iterator
+from itertools import count
 from zlib import crc32
 
 import pyarrow as pa
@@ -29,7 +30,6 @@ CONTEXT = 2
 # places; an instance must reach the same score.
 LEAST_SEEDS = 5
 CONFIDENCE = 0.8
-ROUNDS = 3
 # Word pairs are looked up in a table of so many bits before they leave a task, and
 # leave it in parts of so many.
 BITS = 1 << 20
@@ -42,7 +42,12 @@ _IP = re.compile(r"(?<![0-9])[0-9]++(?:\.[0-9]++){3}")
 _CARD = re.compile(r"[0-9](?:[\x20-]?[0-9])+")
 _PHONE = re.compile(r"\+[0-9][\x20().0-9-]+[0-9]")
 _TOKEN = re.compile(r"\S+")
-_MARK = re.compile(r"[\d@]")
+# A token with a digit, an inner sign of an address or name, or a capital after a
+# small letter may be an identifier; contexts decide whether it is one.
+_MARK = re.compile(r"[\d@_]|[a-z][A-Z]")
+LEAST_LENGTH = 4
+# Scores that change by less in all have settled.
+SETTLED = 1e-6
 _EDGES = "\"'`.,;:!?()[]{}<>*#$&%=|"
 
 
@@ -86,14 +91,6 @@ def base_spans(text: str) -> list[tuple[int, int, int]]:
     return sorted(out, key=lambda x: (x[0], x[2]))
 
 
-def _identifier(token: str) -> bool:
-    """Whether a token could name someone or something: at least three digits and
-    no more letters than digits, or an address sign within it."""
-    digits = sum(c.isdecimal() for c in token)
-    return (digits >= 3 and 2 * digits >= len(token)) or (
-        "@" in token[1:-1] and len(token) >= 5)
-
-
 def candidates(text: str, base: list[tuple[int, int, int]]):
     """``(start, end, kind, instance, pattern)`` of seeds (with their kind) and of
     other identifiers (kind -1), each with the words before it."""
@@ -122,14 +119,13 @@ def candidates(text: str, base: list[tuple[int, int, int]]):
     reach = []
     for _, e in taken:
         reach.append(max(e, reach[-1] if reach else 0))
-    # Only tokens with a digit or an address sign can be identifiers.
     mark = _MARK.search(text)
     while mark:
         at = token_start(mark.start())
         whole = _TOKEN.match(text, at)
         mark = _MARK.search(text, whole.end())
         token = whole[0].strip(_EDGES)
-        if not _identifier(token):
+        if len(token) < LEAST_LENGTH or not _MARK.search(token):
             continue
         start = at + whole[0].index(token)
         end = start + len(token)
@@ -175,18 +171,21 @@ def _pattern_counts(texts: DataFrame, patterns: DataFrame) -> DataFrame:
     return counted.join(patterns, "pattern", "left_semi")
 
 
-def _scored(edges: DataFrame, totals: DataFrame, rounds: int, least: int,
+def _scored(edges: DataFrame, totals: DataFrame, rounds: int | None, least: int,
             confidence: float) -> DataFrame | None:
     """``pattern``, ``k``, ``instance`` of the unseen instances that confident patterns
     of kind ``k`` reach, null if none. ``edges`` has pattern, instance, kind (-1: unseen), n.
 
     What a round finds counts for the patterns of the next one as seeds do, by its score.
+    Scores only rise and have a bound, so the rounds come to an end: when no pattern
+    and no instance is new and the scores have settled.
     """
     graph = materialize(edges.join(totals, "pattern"), "graph")
     seeds = materialize(graph.where("kind >= 0").select(
         "instance", F.lit(1.0).alias("score"), "kind").distinct(), "seeds")
     trust, confident, found = seeds, None, None
-    for _ in range(rounds):
+    before = None
+    for _ in count() if rounds is None else range(rounds):
         scores = (graph.join(trust.select("instance", "score", F.col("kind").alias("k")), "instance")
                   .groupBy("pattern", "k").agg(F.sum(F.col("n") * F.col("score")).alias("held"),
                                                F.max("places").alias("places"),
@@ -206,19 +205,24 @@ def _scored(edges: DataFrame, totals: DataFrame, rounds: int, least: int,
         found = materialize(best, "instances")
         trust = materialize(trust.unionByName(found.select("instance", "score", "kind"))
                             .groupBy("instance", "kind").agg(F.max("score").alias("score")), "trust")
+        now = (confident.count(), *trust.agg(F.count(F.lit(1)), F.sum("score")).first())
+        if before and now[:2] == before[:2] and abs(now[2] - before[2]) < SETTLED:
+            break
+        before = now
     return (graph.where("kind = -1").select("pattern", "instance")
             .join(confident.select("pattern", "k"), "pattern")
             .join(found.select("instance", F.col("kind").alias("k")), ["instance", "k"]))
 
 
-def find(docs: DataFrame, rounds: int = ROUNDS, least_seeds: int = LEAST_SEEDS,
+def find(docs: DataFrame, rounds: int | None = None, least_seeds: int = LEAST_SEEDS,
          confidence: float = CONFIDENCE) -> DataFrame:
     """Per row of ``docs``: ``doc_id``, ``base`` and ``found`` (arrays of start, end,
     kind; code points, end exclusive).
 
     ``base`` holds the fixed formats by start, then kind. ``found`` holds other
     identifiers in contexts that mostly hold known entities, with the kind of
-    those; they never overlap base spans. Null and empty texts have none;
+    those; they never overlap base spans. Contexts and identifiers are scored in turns
+    until nothing is new, or for so many ``rounds``. Null and empty texts have none;
     repeated rows give repeated rows, an empty table none; other columns are
     ignored.
     """
@@ -251,7 +255,7 @@ def find(docs: DataFrame, rounds: int = ROUNDS, least_seeds: int = LEAST_SEEDS,
         edges.groupBy("pattern").agg(F.countDistinct("instance").alias("instances"))
         .where(F.col("instances") >= least_seeds).select("pattern"), "kept-patterns")
     new = None
-    if rounds and not kept.isEmpty():
+    if rounds != 0 and not kept.isEmpty():
         totals = materialize(_pattern_counts(texts, kept), "pattern-places")
         new = _scored(edges.join(kept, "pattern", "left_semi"), totals, rounds, least_seeds, confidence)
     if new is not None:
