@@ -3,8 +3,9 @@
 A unit is a line, or a sentence within a line, of any length. Units are normalised
 (lower case, one space between words) and hashed; the digest of a unit that occurs
 again is looked up once, and the earliest occurrence by document and offset is kept.
-Short lines are told apart by their turn within a document: a list or a refrain
-repeats them, so the n-th copy goes if an earlier document has n of them.
+Where ``line_words`` says that a list or a refrain may repeat short lines, they are
+told apart by their turn within a document: the n-th copy goes if an earlier
+document has n of them. ``op9_line_dedup`` spares no line.
 """
 
 from __future__ import annotations
@@ -22,7 +23,7 @@ from pyspark.sql import functions as F
 from ..storage import materialize
 from .common import read
 
-# Lines of fewer words are short. A letter of a script that is written without
+# Lines of fewer words are short for ``remove_repeats`` by default. A letter of a script that is written without
 # spaces is a word of its own.
 LINE_WORDS = 5
 
@@ -32,7 +33,7 @@ _UNSPACED = re.compile(r"[\u0e00-\u0eff\u1000-\u109f\u1780-\u17ff\u3040-\u30ff\u
                        r"\uf900-\ufaff\uff66-\uff9f\U00020000-\U0003ffff]")
 
 
-def units(text: str, line_words: int = LINE_WORDS):
+def units(text: str, line_words: int = 0):
     """``(start, end, digest)`` of each unit; lines come before their sentences,
     offsets are code points of the text as given."""
     short: Counter = Counter()
@@ -69,8 +70,8 @@ def remove_repeats(docs: DataFrame, line_words: int = LINE_WORDS) -> DataFrame:
     ``removed`` (array of start, end in the given text, merged).
 
     The earliest occurrence has the smallest ``doc_id`` (null first), then the
-    smallest offset; a repeat within one document goes too, but for short lines
-    (see above). Line ends stay. Null
+    smallest offset; a repeat within one document goes too, but for lines of fewer
+    than ``line_words`` words (see above; 0: none). Line ends stay. Null
     and empty texts give an empty text and no spans; rows with the same
     ``doc_id`` and text are one document, given out as often as they came; an
     empty table gives no rows; other columns are ignored.
@@ -137,7 +138,7 @@ def remove_repeats(docs: DataFrame, line_words: int = LINE_WORDS) -> DataFrame:
 
 def op9_line_dedup(spark, sf_dir: str) -> DataFrame:
     """What every document loses to earlier copies of its lines and sentences."""
-    done = remove_repeats(read(spark, sf_dir, "documents"))
+    done = remove_repeats(read(spark, sf_dir, "documents"), line_words=0)
     spans = F.transform("removed", lambda s: F.concat_ws(":", s["start"], s["end"]))
     return done.select(
         "doc_id", F.length("text").cast("bigint").alias("n_chars"),
