@@ -8,7 +8,9 @@ optional, and a group that occurs once in one and often in the other becomes a
 repeated one. A tag carries the part of its own page it stands in, and tags of
 different parts are never aligned, so no slot takes its part from a tag that
 another page leaves open. The slots of the wrapper are then sorted into article
-and other parts, and every page is read through its host's wrapper.
+and other parts, and every page is read through its host's wrapper. Last, the texts that
+fill the slots of a host's pages are compared: one that all of them hold, however much
+they differ else, belongs to the template and not to the article.
 """
 
 from __future__ import annotations
@@ -33,8 +35,8 @@ from .common import read
 BROADCAST_BYTES = 16 << 20
 # A host's shapes are first aligned in so many parts, then the parts with each other.
 PARTS = 16
-# The longest run of tags that folds into a repeated group.
-LONGEST_GROUP = 12
+# So many different texts of a host must hold a block before it counts as template.
+LEAST_PAGES = 5
 # Steps of an alignment are kept for so many pairs of nodes at a time; those of
 # longer streams are worked out again, block by block, from costs kept between.
 KEPT_PAIRS = 4_000_000
@@ -56,6 +58,12 @@ _OUTSIDE_NAME = re.compile(
     r"cookies?|consent|notice|alert|popup|modal|overlay|comments?|disqus|repl(?:y|ies)|share|sharing|"
     r"social|related|recommend\w*|newsletter|subscri\w*|login|signup|search|footer|header|masthead|"
     r"toolbar|widget|pagination|pager|skip)(?:$|[^a-z])")
+# Parts whose items may be articles themselves: an article element within one is none.
+_ITEMS_NAME = re.compile(
+    r"(?:^|[^a-z])(?:ads?|advert\w*|sponsor\w*|promo\w*|comments?|disqus|repl(?:y|ies)|related|"
+    r"recommend\w*)(?:$|[^a-z])")
+# Names that say what the page has (``has-sidebar``) or are phrases, not parts.
+_NO_PART = re.compile(r"(?:has|is|with|without|no|not)[^a-z]|.*[^a-z](?:and|of|for|the)[^a-z]")
 _INSIDE_NAME = re.compile(r"(?:^|[^a-z])(?:article|main|content|post|entry|story)(?:$|[^a-z])")
 
 _TOKEN = re.compile(
@@ -68,8 +76,9 @@ def _tag_name(tag: str, attributes: str) -> str:
     """The tag with what its class, id or role says about its part of the page."""
     if attributes and tag not in INSIDE and tag not in OUTSIDE:
         said = " ".join("".join(m) for m in _NAMES.findall(attributes)).lower()
+        said = " ".join(name for name in said.split() if not _NO_PART.match(name))
         if said and _OUTSIDE_NAME.search(said):
-            return tag + "-"
+            return tag + ("--" if _ITEMS_NAME.search(said) else "-")
         if said and _INSIDE_NAME.search(said):
             return tag + "+"
     return tag
@@ -114,8 +123,9 @@ def tokens(page: str) -> tuple[list[str], list[str]]:
 
 def _parted(tags: list[str]) -> list[str]:
     """The tags with the part of the page that the slot after each is in: ``*`` for
-    one within an article, ``!`` for one within something that is none."""
-    out, stack, at_names = [], [(None, False, False)], defaultdict(list)
+    one within an article, ``!`` for one within something that is none. ``?`` is for
+    an article element whose surroundings only their names speak against."""
+    out, stack, at_names = [], [(None, False, 0, False)], defaultdict(list)
     for tag in tags:
         if tag == "/":
             out.append(tag)
@@ -129,23 +139,22 @@ def _parted(tags: list[str]) -> list[str]:
                     at_names[stack.pop()[0]].pop()
         elif name not in VOID and name not in ENDS_LEFT_OUT and tag != "^":
             at_names[name].append(len(stack))
-            _, inside, outside = stack[-1]
-            stack.append((name, inside or tag in INSIDE or tag.endswith("+"),
-                          outside or tag in OUTSIDE or tag.endswith("-")))
+            _, inside, outside, doubtful = stack[-1]
+            if tag in INSIDE and outside == 1 and not inside:
+                outside, doubtful = 0, True
+            if tag in OUTSIDE or tag.endswith("--"):
+                outside = 2
+            elif tag.endswith("-"):
+                outside = max(outside, 1)
+            stack.append((name, inside or tag in INSIDE or tag.endswith("+"), outside, doubtful))
         else:
             own = tag.endswith("-")
-        _, inside, outside = stack[-1]
-        out.append(tag + "*" * inside + "!" * (outside or own))
+        _, inside, outside, doubtful = stack[-1]
+        out.append(tag + "*" * inside + "?" * doubtful + "!" * (outside > 0 or own))
     return out
 
 
 # A node is [tag, places] or [[node, ...], None] for a group that repeats.
-def _same(a: list, b: list) -> bool:
-    if isinstance(a[0], str) or isinstance(b[0], str):
-        return a[0] == b[0] if isinstance(a[0], str) and isinstance(b[0], str) else False
-    return len(a[0]) == len(b[0]) and all(map(_same, a[0], b[0]))
-
-
 def _join_places(a: list, b: list) -> None:
     if isinstance(a[0], str):
         a[1] += b[1]
@@ -165,33 +174,48 @@ def fold(tags: list[str]) -> list:
             nodes[-1][1].append(at)
         elif tag != "/":
             nodes.append([tag, [at]])
-    changed = True
+    known: dict = {}
+
+    def number(node: list) -> int:
+        key = node[0] if isinstance(node[0], str) else tuple(map(number, node[0]))
+        return known.setdefault(key, len(known))
+
+    numbers, changed = np.array([number(n) for n in nodes]), True
     while changed:
-        changed = False
-        for length in range(1, LONGEST_GROUP + 1):
-            out, at = [], 0
-            while at < len(nodes):
-                group = nodes[at:at + length]
-                nxt = at + length
-                times = 1
-                if len(group) == length and (length > 1 or isinstance(group[0][0], str)):
-                    while (len(nodes) - nxt >= length
-                           and all(map(_same, group, nodes[nxt:nxt + length]))):
-                        for x, y in zip(group, nodes[nxt:nxt + length]):
-                            _join_places(x, y)
-                        nxt += length
-                        times += 1
-                if times > 1:
-                    out.append([group, None])
-                    at = nxt
-                    changed = True
-                else:
-                    out.append(nodes[at])
-                    at += 1
-            nodes = out
+        changed, length = False, 1
+        while 2 * length <= len(nodes):
+            differ = np.flatnonzero(numbers[length:] != numbers[:-length])
+            stops = np.append(differ, len(nodes) - length)
+            # A run that repeats is as long as the way between two differences.
+            if np.diff(stops, prepend=-1).max() > length:
+                out = _folded(nodes, stops, length)
+                if len(out) < len(nodes):
+                    nodes, changed = out, True
+                    numbers = np.array([number(n) for n in nodes])
+            length += 1
     return nodes
 
 
+def _folded(nodes: list, stops: np.ndarray, length: int) -> list:
+    """The nodes with each run of ``length`` that follows itself as one group;
+    ``stops`` are the places whose node differs from the one ``length`` further on."""
+    ahead = stops[np.searchsorted(stops, np.arange(stops[-1] + 1))] - np.arange(stops[-1] + 1)
+    out, at = [], 0
+    while at < len(nodes):
+        again = int(ahead[at]) // length if at < len(ahead) else 0
+        if not again or (length == 1 and not isinstance(nodes[at][0], str)):
+            out.append(nodes[at])
+            at += 1
+            continue
+        group = nodes[at:at + length]
+        for k in range(1, again + 1):
+            for x, y in zip(group, nodes[at + k * length:at + (k + 1) * length]):
+                _join_places(x, y)
+        out.append([group, None])
+        at += (again + 1) * length
+    return out
+
+
 def shape(nodes: list) -> list:
     """A page's nodes as a wrapper: ``[tag or [nodes], optional]``."""
     return [[n[0] if isinstance(n[0], str) else shape(n[0]), False] for n in nodes]
@@ -363,7 +387,7 @@ def _sections(wrapper: list) -> list[str]:
 
 
 def _has_article(tags: list[str]) -> bool:
-    names = [t.rstrip("*!") for t in tags]
+    names = [t.rstrip("*?!") for t in tags]
     return any(t in INSIDE or t.endswith("+") for t in names)
 
 
@@ -374,8 +398,10 @@ def _labels(wrapper_json: str, shape_json: str) -> tuple[bool, ...]:
     places: list = []
     tags = _sections(align(wrapper, page, places))
     known = _has_article(tags)
-    labels = [not t.endswith("!") and (t.endswith("*") or not known) for t in tags]
-    return tuple(labels[at] for at in places)
+    mine = [tags[at] for at in places]
+    sure = any("*" in t and "?" not in t and "!" not in t for t in mine)
+    return tuple(not t.endswith("!") and ("*" in t or not known) and not (sure and "?" in t)
+                 for t in mine)
 
 
 def _leaves(nodes: list) -> Iterator[list]:
@@ -439,11 +465,48 @@ def infer_wrappers(pages: DataFrame) -> DataFrame:
         "host", F.col("shape").alias("wrapper"))
 
 
+def template_blocks(texts: DataFrame, least_pages: int = LEAST_PAGES) -> DataFrame:
+    """``host`` and ``template``, the blocks that all of a host's ``text``s hold.
+
+    Equal texts count once, so copies of a page do not make its article a template;
+    a host with fewer than ``least_pages`` different texts has none. Empty texts say
+    nothing. Blocks are counted by digests before anything is gathered, so a host
+    with a third of all pages is many groups; what is gathered stands in one page.
+    """
+    different = texts.where(F.col("text") != "").groupBy("host", F.sha2("text", 256)).agg(
+        F.first("text").alias("text")).select("host", F.split("text", "\n", -1).alias("blocks"))
+    least = F.col("n") >= least_pages
+    hosts = different.groupBy("host").agg(F.count("*").alias("n")).where(least)
+    held = different.select("host", F.explode(F.array_distinct("blocks")).alias("block")).groupBy(
+        "host", F.xxhash64("block").alias("digest")).agg(
+            F.count("*").alias("n"), F.first("block").alias("block")).where(least)
+    return held.join(hosts, ["host", "n"]).groupBy("host").agg(
+        F.collect_list("block").alias("template"))
+
+
+def without_template(texts: DataFrame) -> DataFrame:
+    """``texts`` (with ``host`` and ``text``) without their hosts' template blocks; a
+    text of nothing else stays as it is."""
+    texts = materialize(texts, "texts")
+    templates = materialize(template_blocks(texts), "templates")
+    size = templates.agg(F.sum(F.length(F.array_join("template", "\n")) + F.length("host"))).first()[0]
+    if size is None:
+        return texts
+    if size <= BROADCAST_BYTES:
+        templates = F.broadcast(templates)
+    own = F.filter(F.split("text", "\n", -1), lambda b: ~F.array_contains("template", b))
+    return texts.join(templates, "host", "left").withColumn(
+        "text", F.when(F.col("template").isNull() | (F.size(own) == 0), F.col("text"))
+        .otherwise(F.array_join(own, "\n"))).select(*texts.columns)
+
+
 def extract(pages: DataFrame) -> DataFrame:
     """``page_id``, ``url``, ``text`` of every row of ``pages``.
 
     Text of the article: blocks joined by one line end, character references
-    decoded, white space within a block one space. Null and empty pages give an
+    decoded, white space within a block one space. A block that all of at least
+    ``LEAST_PAGES`` different texts of a host hold is template and goes, unless a text
+    has no other. Null and empty pages give an
     empty text; pages without a readable host share a wrapper; repeated rows
     give repeated rows; an empty table none; other columns are ignored.
     """
@@ -462,12 +525,13 @@ def extract(pages: DataFrame) -> DataFrame:
             texts = [main_text(page, wrapper, known) for page, wrapper in
                      zip(batch.column(2).to_pylist(), batch.column(3).to_pylist())]
             yield pa.RecordBatch.from_arrays(
-                [batch.column(0), batch.column(1), pa.array(texts, pa.string())],
-                names=["page_id", "url", "text"])
+                [batch.column(0), batch.column(1), batch.column(4), pa.array(texts, pa.string())],
+                names=["page_id", "url", "host", "text"])
 
     kind = rows.schema["page_id"].dataType.simpleString()
-    return rows.join(wrappers, "host").select("page_id", "url", "html", "wrapper").mapInArrow(
-        run, f"page_id {kind}, url string, text string")
+    texts = rows.join(wrappers, "host").select("page_id", "url", "html", "wrapper", "host").mapInArrow(
+        run, f"page_id {kind}, url string, host string, text string")
+    return without_template(texts).drop("host")
 
 
 def op4_html_extraction(spark, sf_dir: str) -> DataFrame:
