@@ -465,21 +465,27 @@ def infer_wrappers(pages: DataFrame) -> DataFrame:
         "host", F.col("shape").alias("wrapper"))
 
 
+def _block_digests(text: str):
+    """64-bit digests of a text's blocks, in order."""
+    return F.transform(F.split(text, "\n", -1), lambda b: F.xxhash64(b))
+
+
 def template_blocks(texts: DataFrame, least_pages: int = LEAST_PAGES) -> DataFrame:
-    """``host`` and ``template``, the blocks that all of a host's ``text``s hold.
+    """``host`` and ``template``, digests of the blocks that all of a host's ``text``s hold.
 
     Equal texts count once, so copies of a page do not make its article a template;
     a host with fewer than ``least_pages`` different texts has none. Empty texts say
-    nothing. Blocks are counted by digests before anything is gathered, so a host
-    with a third of all pages is many groups; what is gathered stands in one page.
+    nothing. Only digests are shuffled, and they are counted before anything is
+    gathered, so a host with a third of all pages is many groups; what is gathered
+    stands in one page.
     """
-    different = texts.where(F.col("text") != "").groupBy("host", F.sha2("text", 256)).agg(
-        F.first("text").alias("text")).select("host", F.split("text", "\n", -1).alias("blocks"))
+    different = texts.where(F.col("text") != "").groupBy(
+        "host", F.unhex(F.sha2("text", 256)).alias("same")).agg(
+            F.first(F.array_distinct(_block_digests("text"))).alias("blocks"))
     least = F.col("n") >= least_pages
     hosts = different.groupBy("host").agg(F.count("*").alias("n")).where(least)
-    held = different.select("host", F.explode(F.array_distinct("blocks")).alias("block")).groupBy(
-        "host", F.xxhash64("block").alias("digest")).agg(
-            F.count("*").alias("n"), F.first("block").alias("block")).where(least)
+    held = different.select("host", F.explode("blocks").alias("block")).groupBy(
+        "host", "block").agg(F.count("*").alias("n")).where(least)
     return held.join(hosts, ["host", "n"]).groupBy("host").agg(
         F.collect_list("block").alias("template"))
 
@@ -489,12 +495,13 @@ def without_template(texts: DataFrame) -> DataFrame:
     text of nothing else stays as it is."""
     texts = materialize(texts, "texts")
     templates = materialize(template_blocks(texts), "templates")
-    size = templates.agg(F.sum(F.length(F.array_join("template", "\n")) + F.length("host"))).first()[0]
+    size = templates.agg(F.sum(8 * F.size("template") + F.length("host"))).first()[0]
     if size is None:
         return texts
     if size <= BROADCAST_BYTES:
         templates = F.broadcast(templates)
-    own = F.filter(F.split("text", "\n", -1), lambda b: ~F.array_contains("template", b))
+    own = F.filter(F.split("text", "\n", -1),
+                   lambda b: ~F.array_contains("template", F.xxhash64(b)))
     return texts.join(templates, "host", "left").withColumn(
         "text", F.when(F.col("template").isNull() | (F.size(own) == 0), F.col("text"))
         .otherwise(F.array_join(own, "\n"))).select(*texts.columns)
