@@ -166,7 +166,8 @@ def landing_run(spark, sf):
     _document_files(spark, sf, f"{root}/raw")
     landed = run_landing(spark, f"{root}/raw", f"{root}/lake", f"{root}/metadata", "contracts")
     copies = landed.select(
-        "landing_key", F.concat(F.lit(f"{root}/lake/"), "landing_key").alias("source_path"))
+        "landing_key", F.concat(F.lit(f"{root}/lake/"), "landing_key").alias("source_path"),
+        "file_size_bytes")
     rehashed = hash_files(copies).select("landing_key", F.col("file_hash").alias("copy_hash"))
     return landed.join(rehashed, "landing_key").select(
         "snapshot_date", "source_file", "relative_path", "landing_bucket", "landing_key",

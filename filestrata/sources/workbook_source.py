@@ -19,7 +19,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.datasource import DataSource, DataSourceReader, InputPartition
 
 from ..functions.text import null_tokens_sql
-from ..storage import spread_files, stage, task_filesystem
+from ..storage import FILES_PER_TASK, spread_files, stage, task_filesystem
 from .workbook_format import Book, is_binary
 
 FORMAT = "workbook"
@@ -107,7 +107,8 @@ def read_workbooks(files: DataFrame, rows: int | None = None, tasks: int | None
     spark = files.sparkSession
     sheet = F.col("sheet") if "sheet" in files.columns else F.lit(None)
     size = [F.col("file_size_bytes")] if "file_size_bytes" in files.columns else []
-    listed = spread_files(files.select("source_path", sheet.cast("string").alias("sheet"), *size), tasks)
+    listed = spread_files(
+        files.select("source_path", sheet.cast("string").alias("sheet"), *size), tasks, FILES_PER_TASK)
     spark.dataSource.register(WorkbookSource)
     reader = spark.read.format(FORMAT).option("files", stage(listed.select("source_path", "sheet"), "workbook-list"))
     found = (reader if rows is None else reader.option("rows", rows)).load()

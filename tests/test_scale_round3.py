@@ -1,11 +1,13 @@
 """What a task holds and how work is shared out, on small inputs."""
 
 import pyarrow.parquet as pq
+from pyspark.sql import functions as F
 
 from filestrata.queries import canonical
 from filestrata.queries.workbook_writer import write_xlsx
 from filestrata.sources import workbook as WB
 from filestrata.sources import workbook_format as WF
+from filestrata.storage import BYTES_PER_TASK, FILES_PER_TASK, spread_files
 
 
 def test_few_pieces_in_a_staged_file(spark, tmp_path, monkeypatch):
@@ -44,3 +46,13 @@ def test_damaged_workbooks_are_written_by_many_tasks(spark, tmp_path, monkeypatc
     assert rows["whole"]["n_bronze"] == rows["whole"]["n_canonical"] == 2 * n
     assert rows["late"]["bronze"] == rows["early"]["canonical"] == "FAILED"
     assert dict((tuple(f), k) for f, k in parts)[("whole", "xlsx")] == -(-n // 500) > 1
+
+
+def test_small_files_of_known_sizes_share_tasks(spark):
+    """A task of 64 files of a few bytes is all overhead; large files stay few to a task."""
+    files = spark.range(10_000).select(F.col("id").cast("string").alias("source_path"))
+    least = spark.sparkContext.defaultParallelism
+    tasks = lambda df, **options: spread_files(df, **options).rdd.getNumPartitions()
+    assert tasks(files.withColumn("file_size_bytes", F.lit(100))) == max(least, 5)
+    assert tasks(files.withColumn("file_size_bytes", F.lit(BYTES_PER_TASK))) == 10_000
+    assert tasks(files) == -(-10_000 // FILES_PER_TASK)
