@@ -5,6 +5,7 @@ from pyspark.sql import functions as F
 
 from filestrata.queries import canonical
 from filestrata.queries.workbook_writer import write_xlsx
+from filestrata.sources import delimited
 from filestrata.sources import workbook as WB
 from filestrata.sources import workbook_format as WF
 from filestrata.storage import BYTES_PER_TASK, FILES_PER_TASK, spread_files
@@ -56,3 +57,24 @@ def test_small_files_of_known_sizes_share_tasks(spark):
     assert tasks(files.withColumn("file_size_bytes", F.lit(100))) == max(least, 5)
     assert tasks(files.withColumn("file_size_bytes", F.lit(BYTES_PER_TASK))) == 10_000
     assert tasks(files) == -(-10_000 // FILES_PER_TASK)
+
+
+def test_paths_are_listed_by_few_tasks(spark, put, monkeypatch):
+    """Spark would list each of many paths in a task of its own."""
+    regular = [put(f"r{i}.csv", f"a;b\n{i};x\n") for i in range(40)]
+    irregular = [put(f"q{i}.csv", f'a;b\n{i};"x\ny"\n') for i in range(40)]
+    setting, seen = "spark.sql.sources.parallelPartitionDiscovery.parallelism", []
+    literal = delimited.literal_paths
+
+    def noted(paths):
+        seen.append(int(spark.conf.get(setting)))
+        return literal(paths)
+
+    monkeypatch.setattr(delimited, "literal_paths", noted)
+    before = spark.conf.get(setting)
+    files = spark.createDataFrame([(p,) for p in regular + irregular], "source_path string")
+    rows = delimited.read_delimited(spark, files).collect()
+    assert sorted((r.a, r.b) for r in rows) == sorted(
+        [(str(i), b) for i in range(40) for b in ("x", "x\ny")])
+    assert len(seen) >= 3 and max(seen) <= 4 * spark.sparkContext.defaultParallelism
+    assert spark.conf.get(setting) == before
