@@ -20,6 +20,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
 from ..storage import materialize
 from .common import read
@@ -31,11 +32,13 @@ BANDS = 32
 ROWS = 6
 # How often each text is tried against the most central text of its buckets.
 HUB_ROUNDS = 3
-# Buckets of more texts than this that are still unlike are dealt again: by bands of
-# 18 rows, which split texts of middling similarity, and so many of them that a pair at
-# 0.8 misses all with a probability of 0.01. What shares such a band is compared.
-PAIRWISE = 64
-DEEPER = ((18, 256),)
+# Buckets of more texts than this that are still unlike are not compared pair by pair but
+# by how their texts differ from a central one.
+PAIRWISE = 8
+# Excess of a text over a pivot (see ``_apart``), in units of what a link to the pivot allows:
+# texts meet by classes of it that begin here. Narrow ones let fewer pairs through.
+EXCESS = tuple(float(low) for part in (np.arange(-1, 2, 0.125), np.arange(2, 4, 0.25), np.arange(4, 8, 0.5),
+                                       np.arange(8, 18, 2)) for low in part)
 # Elements and darts handled at a time: bounds a task's memory.
 AT_ONCE = 500_000
 
@@ -213,36 +216,6 @@ def _verified(pairs: DataFrame, sets: DataFrame, similarity: float) -> DataFrame
     return materialize(measured.where(F.col("similarity") >= similarity), "links")
 
 
-def _dealt_again(texts: DataFrame, sets: DataFrame, rows: int, bands: int) -> DataFrame:
-    """Postings of ``texts`` (``doc_id``, ``n``, ``component``) in bands of more rows, from
-    their shingle sets; buckets of one text are left out."""
-    def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        # Darts of so many sets are in memory at a time.
-        few = max(16, AT_ONCE // (rows * bands * 16))
-        for batch in batches:
-            for at in range(0, batch.num_rows, few):
-                own = batch.slice(at, few)
-                lists = own.column(1)
-                begins = lists.offsets.to_numpy()
-                values = lists.values.to_numpy().view(np.uint64)[begins[0]:begins[-1]]
-                keys = _bands(dart_signatures(values, begins - begins[0], rows * bands), bands, rows)
-                yield pa.RecordBatch.from_arrays(
-                    [own.column(0), pa.ListArray.from_arrays(
-                        pa.array(np.arange(own.num_rows + 1) * bands, pa.int32()),
-                        pa.array(keys.reshape(-1)))],
-                    names=["doc_id", "bands"])
-
-    spark = sets.sparkSession
-    tasks = max(spark.sparkContext.defaultParallelism, int(spark.conf.get("spark.sql.shuffle.partitions")))
-    signed = sets.join(texts.select("doc_id"), "doc_id", "left_semi").select("doc_id", "shingles").repartition(
-        tasks).mapInArrow(run, "doc_id bigint, bands array<bigint>")
-    posted = materialize(signed.select("doc_id", F.explode("bands").alias("bucket")), "deeper")
-    shared = posted.groupBy("bucket").agg(F.count(F.lit(1)).alias("members")).where("members > 1")
-    return materialize(
-        posted.join(shared.select("bucket"), "bucket").join(texts, "doc_id")
-        .select("bucket", "doc_id", "n", "component"), "deeper-postings")
-
-
 def _within(postings: DataFrame, similarity: float) -> DataFrame:
     """Pairs of one bucket and different components whose sizes allow a link."""
     other = postings.select("bucket", F.col("doc_id").alias("b"), F.col("n").alias("b_n"),
@@ -253,23 +226,99 @@ def _within(postings: DataFrame, similarity: float) -> DataFrame:
     ).select(F.col("doc_id").alias("a"), "b")
 
 
-def _candidates(rest: DataFrame, sets: DataFrame, similarity: float) -> DataFrame:
-    """Pairs (``a``, ``b``) that share a bucket, of those that are left.
+def _apart(rest: DataFrame, sets: DataFrame, similarity: float) -> DataFrame:
+    """What the texts of a bucket have otherwise than a central text, the pivot, which is
+    the most central one of its texts' buckets: ``pivot``, ``doc_id``, ``differs`` (the
+    shingles that only one of the two has), ``total`` (the shingles of both), ``excess``
+    and ``unit``.
 
-    Small buckets are compared pair by pair. In a large one that the hubs did not
-    join most texts are unlike: its texts are dealt again by longer bands.
+    Sets x and y that differ from the pivot in d(x) and d(y) shingles differ from each other
+    in d(x) + d(y) less twice what both differ in. A link allows a share t of n(x) + n(y).
+    So it needs at least half of ``excess(x) + excess(y)`` shingles that both differ in,
+    the excess being d - t * n.
     """
-    pairs = []
-    for rows, bands in DEEPER:
-        large = materialize(rest.groupBy("bucket").agg(F.count(F.lit(1)).alias("members"))
-                            .where(F.col("members") > PAIRWISE).select("bucket"), "large")
-        if large.isEmpty():
-            break
-        pairs.append(_within(rest.join(large, "bucket", "left_anti"), similarity))
-        unlike = materialize(rest.join(large, "bucket", "left_semi").select(
-            "doc_id", "n", "component").distinct(), "unlike")
-        rest = _dealt_again(unlike, sets, rows, bands)
-    return reduce(DataFrame.unionByName, pairs, _within(rest, similarity)).distinct()
+    share = (1 - similarity) / (1 + similarity)
+    # Buckets that overlap take one pivot, so that a text is described a few times at most.
+    hubs = materialize(rest.groupBy("bucket").agg(
+        F.max(F.struct("central", (-F.col("doc_id")).alias("turned"))).alias("hub")), "hubs")
+    known = materialize(rest.join(hubs, "bucket").groupBy("doc_id").agg(F.max("hub").alias("hub")), "known")
+    pivots = materialize(rest.join(known, "doc_id").groupBy("bucket").agg(
+        (-F.max("hub")["turned"]).alias("pivot")), "pivots")
+    near = materialize(rest.join(pivots, "bucket").select("pivot", "doc_id").distinct(), "near")
+    both = near.join(sets, "doc_id").join(
+        sets.select(F.col("doc_id").alias("pivot"), F.col("shingles").alias("pivot_set")), "pivot")
+    n, pivot_n = F.size("shingles"), F.size("pivot_set")
+    differs = F.concat(F.array_except("shingles", "pivot_set"), F.array_except("pivot_set", "shingles"))
+    return materialize(
+        both.select("pivot", "doc_id", differs.alias("differs"), (n + pivot_n).alias("total"),
+                    (share * n).alias("own"), F.greatest(share * pivot_n, F.lit(1.0)).alias("unit"))
+        .select("pivot", "doc_id", "differs", "total", (F.size("differs") - F.col("own")).alias("excess"),
+                "unit"), "apart")
+
+
+def _to_pivots(apart: DataFrame, labels: DataFrame, similarity: float) -> DataFrame:
+    """Links between texts and their pivots that are in different components."""
+    of = lambda side: labels.select(F.col("doc_id").alias(side), F.col("component").alias(f"{side}_c"))
+    common = (F.col("total") - F.size("differs")) / 2
+    close = apart.select(F.col("doc_id").alias("a"), F.col("pivot").alias("b"),
+                         (common / (F.col("total") - common)).alias("similarity"))
+    return materialize(close.where(F.col("similarity") >= similarity).join(of("a"), "a").join(of("b"), "b")
+                       .where("a_c <> b_c").select("a", "b", "similarity"), "links")
+
+
+def _by_differences(apart: DataFrame, labels: DataFrame) -> DataFrame:
+    """Pairs (``a``, ``b``) of texts around one pivot and of different components: all that
+    are links, and few others.
+
+    Links to the pivot are made, so at most one of the two is that close to it, and both
+    must share what they differ in. If that takes ``needed`` shingles, one of them is
+    among all but the ``needed`` - 1 most frequent ones of either text. What is needed
+    follows from both excesses: each shingle reaches up to a class of the other's. Classes
+    meet first, then components, then texts, so that those of one component never do.
+    """
+    placed = apart.join(labels, "doc_id")
+    mixed = materialize(placed.groupBy("pivot").agg(
+        F.min("component").alias("low"), F.max("component").alias("high"))
+        .where("low <> high").select("pivot"), "mixed")
+    around = materialize(placed.join(mixed, "pivot").select(
+        "pivot", "doc_id", "component", "excess", "unit", "differs"), "around")
+    each = around.withColumn("shingle", F.explode("differs")).drop("differs")
+    # What only texts of one component differ in is shared by no pair that is asked for.
+    often = materialize(each.groupBy("pivot", "shingle").agg(
+        F.count(F.lit(1)).alias("often"), F.min("component").alias("low"), F.max("component").alias("high"))
+        .where("low <> high").select("pivot", "shingle", "often"), "often")
+    turn = F.row_number().over(
+        Window.partitionBy("pivot", "doc_id").orderBy(F.desc("often"), "shingle"))
+    begun = lambda x: reduce(lambda m, low: m + (x >= low).cast("int"), EXCESS[1:], F.lit(0))
+    # Up to which excess of the other text so few are needed that this shingle counts. One
+    # is always needed: the excesses of two components' texts add up to more than none.
+    room = (2 * F.col("turn") + 1e-6 - F.col("excess")) / F.col("unit")
+    posted = materialize(
+        each.join(often, ["pivot", "shingle"]).withColumn("turn", turn).where(room >= EXCESS[0]).select(
+            "pivot", "shingle", "doc_id", "component", begun(F.col("excess") / F.col("unit")).alias("own"),
+            begun(room).alias("reach")), "posted")
+    # Classes meet before texts do: a few numbers a shingle, however many texts.
+    reached = materialize(posted.groupBy("pivot", "shingle", "own").agg(
+        F.max("reach").alias("reach"), F.min("component").alias("low"), F.max("component").alias("high")),
+        "classes")
+    facing = reached.select("pivot", "shingle", F.col("own").alias("other"), F.col("reach").alias("back"),
+                            F.col("low").alias("other_low"), F.col("high").alias("other_high"))
+    faces = reached.join(facing, ["pivot", "shingle"]).where(
+        "other <= reach and own <= back and (low <> other_high or high <> other_low)").select(
+        "pivot", "shingle", "own", "other")
+    spot = lambda x, y: F.xxhash64("pivot", "shingle", x, y)
+    posted = materialize(
+        posted.join(materialize(faces, "faces"), ["pivot", "shingle", "own"]).where("other <= reach").select(
+            "doc_id", "component", spot("own", "other").alias("spot"), spot("other", "own").alias("facing")),
+        "facing")
+    here = posted.select("spot", "facing", "component").distinct()
+    there = posted.select(F.col("spot").alias("facing"), F.col("component").alias("b_c")).distinct()
+    meet = materialize(here.join(there, "facing").where("component < b_c"), "meet")
+    left = meet.join(posted.select("spot", "component", F.col("doc_id").alias("a")), ["spot", "component"])
+    right = posted.select(F.col("spot").alias("facing"), F.col("component").alias("b_c"),
+                          F.col("doc_id").alias("b"))
+    return left.join(right, ["facing", "b_c"]).select(
+        F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
 
 
 def components(links: DataFrame) -> DataFrame:
@@ -325,10 +374,10 @@ def near_duplicates(docs: DataFrame, similarity: float = SIMILARITY, bands: int
     Buckets are of any size and none is cut: each text is first tried against
     the most central texts of its buckets, which joins a group of copies by as
     many comparisons as it has members. What is then still in different
-    components of one bucket is compared pair by pair in small buckets; texts of
-    large ones are dealt again by longer bands, so that a large group of texts that
-    are alike, but not enough, does not meet pair by pair. A link of 0.8 between two
-    of those is found with a probability of 0.99, a closer one almost surely.
+    components of one bucket is compared pair by pair in small buckets. In large ones
+    texts are described by what they have otherwise than a central text, and meet only
+    if they share enough of that, so that a large group of texts that are alike, but not
+    enough, does not meet pair by pair. No link between texts of a bucket is left out.
     """
     texts = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"),
                         F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"))
@@ -378,8 +427,17 @@ def near_duplicates(docs: DataFrame, similarity: float = SIMILARITY, bands: int
             "bucket", "doc_id", "n", "central", "component"), "rest")
         if rest.isEmpty():
             break
-    pairs = _candidates(rest.select("bucket", "doc_id", "n", "component"), sets, similarity)
-    found = _verified(pairs, sets, similarity)
+    large = materialize(rest.groupBy("bucket").agg(F.count(F.lit(1)).alias("members"))
+                        .where(F.col("members") > PAIRWISE).select("bucket"), "large")
+    pairs = _within(rest.join(large, "bucket", "left_anti").select("bucket", "doc_id", "n", "component"),
+                    similarity)
+    if not large.isEmpty():
+        apart = _apart(rest.join(large, "bucket", "left_semi"), sets, similarity)
+        found = _to_pivots(apart, labels, similarity)
+        links = found if links is None else links.unionByName(found)
+        labels = _grown(labels, found)
+        pairs = pairs.unionByName(_by_differences(apart, labels))
+    found = _verified(pairs.distinct(), sets, similarity)
     links = found if links is None else links.unionByName(found)
     labels = _grown(labels, found)
     ends = links.select(F.col("a").alias("node")).unionByName(links.select(F.col("b").alias("node")))

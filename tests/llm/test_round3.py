@@ -339,6 +339,40 @@ def test_near_duplicates_in_a_large_group_of_unlike_texts(spark, monkeypatch):
     assert compared[-1] < 0.25 * len(sets) ** 2 / 2
 
 
+def test_a_group_around_one_text_does_not_meet_pair_by_pair(spark, monkeypatch):
+    """Copies with edits of their own, most of them below 0.8: twice the group takes no more
+    than about twice the comparisons, all links are found, and no others."""
+    import brute
+    from filestrata.llm import near_dup
+
+    rng = random.Random(22)
+    base = [f"w{i}" for i in range(150)]
+
+    def edited(words, n):
+        words = list(words)
+        for at in rng.sample(range(len(words)), n):
+            words[at] = f"e{rng.getrandbits(50)}"
+        return words
+
+    def compared(size):
+        texts = [base] + [edited(base, rng.choice((1, 2, 4, 5, 6))) for _ in range(size)]
+        # Links away from the centre.
+        texts += [edited(texts[i], rng.choice((1, 2, 3))) for i in range(1, 41)]
+        rows = [(i, " ".join(t)) for i, t in enumerate(texts)]
+        want = brute.classes(rows)
+        assert len(set(want.values())) > 0.4 * size
+        seen = []
+        monkeypatch.setattr(near_dup, "_verified",
+                            lambda pairs, *a: seen.append(pairs.count()) or verified(pairs, *a))
+        got = near_dup.near_duplicates(spark.createDataFrame(rows, "doc_id bigint, text string"))
+        assert {r.doc_id: r.class_id for r in got.collect()} == want
+        return seen[-1]
+
+    verified = near_dup._verified
+    few, many = compared(200), compared(400)
+    assert many < 3 * max(few, 400) and many < 0.05 * 400 ** 2 / 2
+
+
 def test_identifiers_of_any_shape_are_candidates():
     from filestrata.llm import pii
 
