@@ -30,10 +30,12 @@ ENDINGS = ("s", "t", "re", "ve", "m", "ll", "d")
 SPACE, LETTER, NUMBER, OTHER = 0, 1, 2, 3
 
 # They bound a task's memory: code points of a block's texts, code points of all
-# texts for each bucket of words, and words that the tokenizer encodes at a time.
+# texts for each bucket of words, words that the tokenizer encodes at a time, and
+# code points that are split at a time.
 BLOCK_CHARS = 2 << 20
 BUCKET_CHARS = 64 << 20
 WORDS_AT_ONCE = 10_000
+SPLIT_CHARS = 1 << 18
 
 
 def character_classes() -> np.ndarray:
@@ -80,6 +82,24 @@ def split_words(texts: list[str], special: list[str],
     word (with the total at the end). Joined, a text's words give the text.
     ``classes`` is ``character_classes()``, built once on the driver.
 
+    A code point takes some 60 bytes while it is looked at, so texts are split a
+    few at a time; no word reaches from one text into another.
+    """
+    words, first, total, start, held = [], [np.zeros(1, np.int64)], 0, 0, 0
+    for at, text in enumerate(texts, 1):
+        held += len(text)
+        if held >= SPLIT_CHARS or at == len(texts):
+            own, begins = _split(texts[start:at], special, classes)
+            words.append(own)
+            first.append(begins[1:] + total)
+            total, start, held = total + len(own), at, 0
+    return pa.chunked_array(words, pa.large_string()).combine_chunks(), np.concatenate(first)
+
+
+def _split(texts: list[str], special: list[str],
+           classes: np.ndarray) -> tuple[pa.Array, np.ndarray]:
+    """``split_words`` of some texts at once.
+
     The rule is the public split pattern of byte-level BPE: runs of letters,
     numbers or other signs, each with one leading space; English endings; white
     space, the last of a run being left to what follows.
@@ -170,7 +190,11 @@ def vocabulary(spark: SparkSession, path: str) -> DataFrame:
     byte_of = {chr(sign): byte for byte, sign in sign_of.items()}
     pieces = {i: bytes(byte_of[c] for c in token) for token, i in model["model"]["vocab"].items()}
     pieces |= {t["id"]: t["content"].encode() for t in model["added_tokens"]}
-    return spark.createDataFrame(sorted(pieces.items()), "id int, piece binary")
+    ids = sorted(pieces)
+    # A table of Arrow: from rows, Spark would start Python workers of another kind on
+    # the executors, which stay beside those of the tasks.
+    return spark.createDataFrame(pa.table({
+        "id": pa.array(ids, pa.int32()), "piece": pa.array([pieces[i] for i in ids], pa.binary())}))
 
 
 def encode_and_decode(docs: DataFrame, tokenizer_path: str,

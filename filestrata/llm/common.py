@@ -20,6 +20,8 @@ from ..storage import scratch_dir
 # Documents of about so many bytes of text share a block. Only bounds a task's
 # memory: a longer document has a block of its own.
 BLOCK_BYTES = 8 << 20
+# Rows of a batch that are made Python's values at a time.
+ROWS_AT_ONCE = 100
 
 
 def read(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -70,13 +72,16 @@ def text_blocks(docs: DataFrame, block_bytes: int = BLOCK_BYTES) -> DataFrame:
             return out
 
         for batch in batches:
-            for doc_id, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
-                text = text or ""
-                ids.append(doc_id)
-                texts.append(text)
-                held += len(text)
-                if held >= block_bytes:
-                    yield flush()
+            # Spark sends thousands of rows at once: few of them become Python's strings.
+            for at in range(0, batch.num_rows, ROWS_AT_ONCE):
+                some = batch.slice(at, ROWS_AT_ONCE)
+                for doc_id, text in zip(some.column(0).to_pylist(), some.column(1).to_pylist()):
+                    text = text or ""
+                    ids.append(doc_id)
+                    texts.append(text)
+                    held += len(text)
+                    if held >= block_bytes:
+                        yield flush()
         if ids:
             yield flush()
 
